@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .canonical import mapped_values
+
+    return mapped_values(table(spark, sf_dir, "case_studies"), table(spark, sf_dir, "taxonomy"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pages import story_line_numbers
 
     return story_line_numbers(table(spark, sf_dir, "raw_pages"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .known_pages import known_urls
+
+    return known_urls(*(table(spark, sf_dir, t) for t in ("discovered_urls", "run_log", "fetch_manifest", "raw_pages")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .residue_attempts import residue_attempts
 
