@@ -21,6 +21,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story_line_numbers(table(spark, sf_dir, "raw_pages"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .names import linked_names, name_spellings
+
+    vendors = [r["value"] for r in table(spark, sf_dir, "taxonomy").where("kind = 'vendors'").select("value").collect()]  # a fixed list
+    return linked_names(name_spellings(table(spark, sf_dir, "case_studies")), vendors)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .known_pages import known_urls
 
@@ -33,6 +40,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue_attempts(table(spark, sf_dir, "fetch_manifest"), table(spark, sf_dir, "raw_pages"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .leaks import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .languages import wrong_labels
+
+    return wrong_labels(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 

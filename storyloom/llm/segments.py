@@ -3,8 +3,8 @@
 A text is a string of symbols, one per word. Of each text in the history a fixed number of disjoint segments of equal length
 is stored with position and text length; as many as the allowed edits plus one plus a reserve. Edits can destroy one segment
 each, so a text within the bound shares at least reserve + 1 of them with the probe, at a position shifted by no more than the
-edits. Which disjoint segments are stored is free: those of the rarest symbols are, which keeps common phrases out of the
-index without losing a pair. Every pair that shares enough is verified by bounded edit distance.
+edits. Which disjoint segments are stored is free: the rarest are, by their counts in a bounded sample of the history, which
+keeps common phrases out of the index without losing a pair. Every pair that shares enough is verified by bounded edit distance.
 
 Equal texts are one entry. Texts with fewer than MIN_WORDS words are compared for equality only. Null and empty texts match nothing.
 """
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from .residue import WORD
 
 #: Share of the longer text's words that may differ.
-RATIO = 0.12
-SEGMENT_WORDS, RESERVE, MIN_WORDS = 5, 4, 8
+RATIO = 0.11
+SEGMENT_WORDS, RESERVE, MIN_WORDS = 5, 1, 8
+#: Texts whose segments are counted to tell common phrases from rare ones; the choice affects speed only, not the result.
+SAMPLE = 3000
 #: Symbols: 20,992 ideographs and 11,172 syllables, all in the basic plane.
 N_SYMBOLS = 0x9FFF - 0x4E00 + 1 + 0xD7A3 - 0xAC00 + 1
 
@@ -60,29 +62,6 @@ def segment_length(n: int) -> int:
     return min(SEGMENT_WORDS, n // (edits(n) + 1))
 
 
-def symbol_counts(texts: DataFrame) -> DataFrame:
-    """symbol, n over all texts (column s); at most N_SYMBOLS rows."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0x10000, dtype=np.int64)
-        for pdf in batches:
-            joined = "".join(x for x in pdf["s"] if x)
-            if joined:
-                total += np.bincount(np.frombuffer(joined.encode("utf-16-le"), dtype=np.uint16), minlength=0x10000)
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"symbol": used.astype(np.int32), "n": total[used]})
-
-    return texts.select("s").mapInPandas(count, "symbol int, n bigint").groupBy("symbol").agg(F.sum("n").alias("n"))
-
-
-def rarity(counts: list) -> np.ndarray:
-    total = sum(r["n"] for r in counts) or 1
-    weight = np.full(0x10000, math.log(total + 1))
-    for r in counts:
-        weight[r["symbol"]] = math.log((total + 1) / r["n"])
-    return weight
-
-
 def codes(s: str) -> np.ndarray:
     return np.frombuffer(s.encode("utf-16-le"), dtype=np.uint16)
 
@@ -96,35 +75,45 @@ def gram_hashes(c: np.ndarray, q: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def chosen_segments(c: np.ndarray, q: int, weight: np.ndarray) -> list[int]:
+def common_segments(history: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the segments that several texts of the sample hold, and in how many they stand."""
+    n = max(1, history.count())
+    picked = history.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) <= int(min(1.0, SAMPLE / n) * 1_000_003)).select("s").collect()
+    held = []
+    for r in picked:
+        if r["s"] and len(r["s"]) >= MIN_WORDS:
+            c = codes(r["s"])
+            held.append(np.unique(gram_hashes(c, segment_length(len(c)))))
+    if not held:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    h, k = np.unique(np.concatenate(held), return_counts=True)
+    return h[k > 1], k[k > 1].astype(np.int32)
+
+
+def chosen_segments(h: np.ndarray, n: int, q: int, common: tuple[np.ndarray, np.ndarray]) -> list[int]:
     """Positions of the rarest disjoint segments: as many as edits + 1 + RESERVE, or all that fit."""
-    n = len(c)
     want = min(edits(n) + 1 + RESERVE, n // q)
-    w = np.concatenate(([0.0], np.cumsum(weight[c])))
-    score = w[q:] - w[:-q]
-    free = np.ones(n, dtype=bool)
+    count = np.zeros(len(h), dtype=np.int32)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], h), len(common[0]) - 1)
+        count = np.where(common[0][at] == h, common[1][at], 0)
+    taken = bytearray(n + q)
     picked: list[int] = []
-    for p in np.argsort(-score, kind="stable"):
-        if free[p] and free[p + q - 1] and free[p : p + q].all():
-            free[p : p + q] = False
-            picked.append(int(p))
+    for p in np.argsort(count, kind="stable").tolist():
+        if not (taken[p] or taken[p + q - 1]):  # segments are of equal length: one that overlaps covers an end
+            taken[p : p + q] = b"\1" * q
+            picked.append(p)
             if len(picked) == want:
                 return sorted(picked)
-    # greedy choice left gaps too small for enough segments: cut evenly instead
-    return [int(i * n // want) for i in range(want)]
-
-
-def required(n: int) -> int:
-    """Segments of a history text of n words that a text within the bound must share."""
-    return min(edits(n) + 1 + RESERVE, n // segment_length(n)) - edits(n)
+    return [i * n // want for i in range(want)]  # the gaps left are too small for enough segments: cut evenly instead
 
 
 SEGMENTS_DDL = "h bigint, id bigint, pos int, n int"
 
 
-def history_segments(texts: DataFrame, weight: np.ndarray) -> DataFrame:
+def history_segments(texts: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """h, id, pos, n: the segments to be stored of each text (columns id, s)."""
-    shared = texts.sparkSession.sparkContext.broadcast(weight)
+    shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -134,8 +123,9 @@ def history_segments(texts: DataFrame, weight: np.ndarray) -> DataFrame:
                     continue
                 c = codes(s)
                 q = segment_length(len(c))
-                at = chosen_segments(c, q, shared.value)
-                h.append(gram_hashes(c, q)[at])
+                every = gram_hashes(c, q)
+                at = chosen_segments(every, len(c), q, shared.value)
+                h.append(every[at])
                 ids += [i] * len(at)
                 pos += at
                 ns += [len(c)] * len(at)
@@ -171,28 +161,37 @@ def matches(history: DataFrame, batch: DataFrame, segments: DataFrame | None = N
     segments: the stored index of the history; without it, it is built here."""
     from ..session import materialize
 
-    counts = symbol_counts(history).collect()  # at most N_SYMBOLS rows
     if segments is None:
-        segments = history_segments(history, rarity(counts))
+        segments = history_segments(history, common_segments(history))
     left = segments.select("h", F.col("id").alias("old"), F.col("pos").alias("p"), F.col("n").alias("n"))
     right = probe_segments(batch).select("h", F.col("id").alias("new"), F.col("pos").alias("q"), F.col("n").alias("m"))
     bound = F.floor(F.greatest("n", "m") * RATIO + 1e-9)
     most = F.floor(F.col("n") * (RATIO / (1 - RATIO)) + 1e-9).cast("int")
     length = F.least(F.lit(SEGMENT_WORDS), F.floor(F.col("n") / (most + 1)))
     need = F.least(most + 1 + RESERVE, F.floor(F.col("n") / length)) - most
+    low = F.lit(0xFFFFFFFF).cast("bigint")
+    # half of each id is enough to count by: pairs that fall together are told apart when they are verified
     pairs = (
         left.join(right, "h")
-        .where((F.abs(F.col("n") - F.col("m")) <= bound) & (F.abs(F.col("p") - F.col("q")) <= bound) & (F.col("old") != F.col("new")))
-        .groupBy("old", "new", "n")
-        .agg(F.count_distinct("p").alias("shared"))
-        .where(F.col("shared") >= need)
-        .select("old", "new")
+        .where((F.abs(F.col("n") - F.col("m")) <= bound) & (F.abs(F.col("p") - F.col("q")) <= bound))
+        .groupBy(F.shiftleft("old", 32).bitwiseOR(F.col("new").bitwiseAND(low)).alias("pair"), need.cast("int").alias("need"))
+        .count()
+        .where("count >= need")
+        .select(F.shiftrightunsigned("pair", 32).alias("o"), F.col("pair").bitwiseAND(low).alias("w"))
     )
-    pairs = materialize(pairs, "segment-pairs")
     near = (
-        pairs.join(history.select(F.col("id").alias("old"), F.col("s").alias("a")), "old")
-        .join(batch.select(F.col("id").alias("new"), F.col("s").alias("b")), "new")
+        materialize(pairs, "segment-pairs")
+        .join(history.select(F.col("id").bitwiseAND(low).alias("o"), F.col("id").alias("old"), F.col("s").alias("a")), "o")
+        .join(batch.select(F.col("id").bitwiseAND(low).alias("w"), F.col("id").alias("new"), F.col("s").alias("b")), "w")
+        .where(F.col("old") != F.col("new"))
         .where(F.levenshtein("a", "b") <= F.floor(F.greatest(F.length("a"), F.length("b")) * RATIO + 1e-9))
         .select(F.col("new").alias("id"))
     )
     return near.distinct()
+
+
+def append_segments(texts: DataFrame, path: str, batch_id: str) -> None:
+    """Add the segments of accepted texts (id, s) to the stored index at path; a batch written again replaces itself.
+
+    Read the index with spark.read.parquet(path) and give it to matches() with the history's texts."""
+    history_segments(texts, common_segments(texts)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
