@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words in a row that make a leak, and the share of them that may be changed, added or missing.
-RUN, EDITS = 20, 0.16
+RUN, EDITS = 20, 0.2
 WINDOW, STEP = 24, 8
 BUCKETS, RANK, POWER, SAMPLE = 8192, 128, 2, 20_000
 #: Least cosine in the latent space; chosen for recall, as every candidate is checked afterwards.
@@ -137,42 +137,50 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
 
 
 def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
-    """(item words covered, edits) of the best chain of common words, cut at most once by other text in the document."""
+    """(item words covered, edits) of the longest chain of common words that holds the item's answers.
+
+    A chain follows document and item with at most GAP words missing on either side between two common words, and once over
+    any other text of the document. Its edits stay within EDITS, and it has at least half of the words with digits that the
+    item has there: texts that share a wording but not its figures are different."""
     where: dict[str, list[int]] = defaultdict(list)
     for j, w in enumerate(item):
         where[w].append(j)
-    nodes = [(i, j) for i, w in enumerate(doc) for j in where.get(w, ())]
-    best: dict[tuple[int, int], list] = {}
-    by_item: dict[int, list] = defaultdict(list)
+    answer = [any(c.isdigit() for c in w) for w in item]
+    answers = [0]
+    for x in answer:
+        answers.append(answers[-1] + x)
+    # a state is (score, start in item, edits, answers found); of each common word the best without and with the cut
+    best: dict[tuple[int, int], tuple] = {}
+    ends: dict[int, list] = defaultdict(list)
     top = (0, 0)
-    top_score = 0.0
-    for i, j in nodes:
-        # states: (score, start in item, edits, matches) without and with the cut
-        a, b = (1.0, j, 0), None
-        for di in range(1, GAP + 2):
+    for i, w in enumerate(doc):
+        for j in where.get(w, ()):
+            hit = answer[j]
+            whole, cut = (1, j, 0, hit), None
+            for di in range(1, GAP + 2):
+                for dj in range(1, GAP + 2):
+                    before = best.get((i - di, j - dj))
+                    if before is None:
+                        continue
+                    e = max(di, dj) - 1
+                    x = before[0]
+                    if x[0] + 1 - 4 * e > whole[0]:
+                        whole = (x[0] + 1 - 4 * e, x[1], x[2] + e, x[3] + hit)
+                    x = before[1]
+                    if x is not None and (cut is None or x[0] + 1 - 4 * e > cut[0]):
+                        cut = (x[0] + 1 - 4 * e, x[1], x[2] + e, x[3] + hit)
             for dj in range(1, GAP + 2):
-                before = best.get((i - di, j - dj))
-                if before is None:
-                    continue
-                e = max(di, dj) - 1
-                if before[0][0] + 1 - 4 * e > a[0]:
-                    a = (before[0][0] + 1 - 4 * e, before[0][1], before[0][2] + e)
-                if before[1] is not None and (b is None or before[1][0] + 1 - 4 * e > b[0]):
-                    b = (before[1][0] + 1 - 4 * e, before[1][1], before[1][2] + e)
-        for dj in range(1, GAP + 2):
-            for score, start, edits, at in by_item.get(j - dj, ()):
-                if at < i - GAP - 1 and (b is None or score - 4 * (dj - 1) > b[0]):
-                    b = (score + 1 - 4 * (dj - 1), start, edits + dj - 1)
-        best[(i, j)] = [a, b]
-        if a[0] >= 3:
-            kept = by_item[j]
-            if not kept or a[0] > kept[-1][0]:
-                kept.append((a[0], a[1], a[2], i))
-        for s in (a, b):
-            if s is not None:
-                length = j - s[1] + 1
-                if s[2] <= EDITS * length and (length, s[0]) > (top[0], top_score):
-                    top, top_score = (length, s[2]), s[0]
+                for x, at in ends.get(j - dj, ()):
+                    if at < i - GAP - 1 and (cut is None or x[0] + 5 - 4 * dj > cut[0]):
+                        cut = (x[0] + 5 - 4 * dj, x[1], x[2] + dj - 1, x[3] + hit)
+            best[(i, j)] = (whole, cut)
+            if whole[0] >= 3 and (not ends[j] or whole[0] > ends[j][-1][0][0]):
+                ends[j].append((whole, i))
+            for x in (whole, cut):
+                if x is not None:
+                    length = j - x[1] + 1
+                    if length > top[0] and x[2] <= EDITS * length and 2 * x[3] >= answers[j + 1] - answers[x[1]]:
+                        top = (length, x[2])
     return top
 
 
