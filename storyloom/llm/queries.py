@@ -15,6 +15,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped_values(table(spark, sf_dir, "case_studies"), table(spark, sf_dir, "taxonomy"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pairs import frequent_pairs
+
+    return frequent_pairs(table(spark, sf_dir, "case_studies"))
+
+
+def p2_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pairs import pair_statistics
+
+    return pair_statistics(table(spark, sf_dir, "case_studies"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pages import story_line_numbers
 
@@ -46,6 +58,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import shares
+
+    return shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .languages import wrong_labels
 
@@ -57,4 +75,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .pairs import SQL
+
+    return {"p2_found": SQL}
