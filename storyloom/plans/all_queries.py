@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from . import incremental_queries  # noqa: F401
+from . import incremental_queries, record_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
