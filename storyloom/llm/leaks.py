@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 #: Words in a row that make a leak, and the share of them that may be changed, added or missing.
 RUN, EDITS = 20, 0.2
 WINDOW, STEP = 24, 8
-BUCKETS, RANK, POWER, SAMPLE = 8192, 128, 2, 20_000
+BUCKETS, RANK, POWER, SAMPLE = 8192, 96, 2, 20_000
 #: Least cosine in the latent space; chosen for recall, as every candidate is checked afterwards.
-COSINE = 0.3
+COSINE = 0.42
 GAP = 3
+DOCS_AT_ONCE = 256
 WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 
@@ -83,20 +84,29 @@ def idf_weights(counts: np.ndarray, total: int) -> np.ndarray:
     return np.log((1 + total) / (1 + counts)) ** 2 + 1e-3
 
 
-def vectors(cuts: list[np.ndarray], idf: np.ndarray, basis: np.ndarray | None) -> np.ndarray:
-    """TF-IDF rows of unit length, projected if a basis is given (the length before projection stays 1)."""
-    if basis is None:
-        out = np.zeros((len(cuts), BUCKETS), dtype=np.float32)
-        for i, c in enumerate(cuts):
-            np.add.at(out[i], c, idf[c])
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.maximum(norm, 1e-9)
-    out = np.empty((len(cuts), basis.shape[1]), dtype=np.float32)
+def vectors(cuts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """TF-IDF rows of unit length."""
+    out = np.zeros((len(cuts), BUCKETS), dtype=np.float32)
     for i, c in enumerate(cuts):
-        u, n = np.unique(c, return_counts=True)
-        x = n * idf[u]
-        out[i] = (x / max(math.sqrt(float(x @ x)), 1e-9)) @ basis[u]
-    return out
+        np.add.at(out[i], c, idf[c])
+    norm = np.linalg.norm(out, axis=1, keepdims=True)
+    return out / np.maximum(norm, 1e-9)
+
+
+def projected(b: np.ndarray, terms: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """The windows of hashed words in the latent space, scaled by their length before projection.
+
+    terms: weighted basis rows per bucket; a window is the sum of its words' rows, taken from running sums over the text. The
+    length leaves repeated words apart, which can only raise a cosine."""
+    if len(b) <= WINDOW:
+        starts, ends = np.array([0]), np.array([len(b)])
+    else:
+        starts = np.array([*range(0, len(b) - WINDOW, STEP), len(b) - WINDOW])
+        ends = starts + WINDOW
+    sums = np.zeros((len(b) + 1, terms.shape[1]), dtype=np.float32)
+    np.cumsum(terms[b], axis=0, out=sums[1:])
+    lengths = np.concatenate(([0.0], np.cumsum(squares[b])))
+    return (sums[ends] - sums[starts]) / np.sqrt(np.maximum(lengths[ends] - lengths[starts], 1e-9))[:, None].astype(np.float32)
 
 
 def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray, seed: int = 7) -> np.ndarray:
@@ -107,7 +117,7 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
     spark = sample.sparkSession
     rng = np.random.default_rng(seed)
     basis = np.linalg.qr(rng.standard_normal((BUCKETS, RANK)))[0].astype(np.float32)
-    fixed = vectors(items, idf, None)
+    fixed = vectors(items, idf)
     n = max(1, sample.count())
     weight = np.float32(math.sqrt(max(1.0, 8.0 * n / max(1, len(items)))))
     fixed *= weight
@@ -184,6 +194,27 @@ def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
     return top
 
 
+class Probe:
+    """What a text must hold for a chain of RUN words of an item to be possible: enough of its words, and of its answers one,
+    unless the item has RUN words in a row without any."""
+
+    def __init__(self, item: list[str]):
+        self.words = item
+        marks = [-1, *[j for j, w in enumerate(item) if any(c.isdigit() for c in w)], len(item)]
+        self.answers = {item[j] for j in marks[1:-1]}
+        self.plain = max(b - a - 1 for a, b in zip(marks, marks[1:])) >= RUN
+
+    def possible(self, seen: set[str]) -> bool:
+        if not self.plain and self.answers.isdisjoint(seen):
+            return False
+        held = [w in seen for w in self.words]
+        inside = most = sum(held[:RUN])
+        for j in range(RUN, len(held)):
+            inside += held[j] - held[j - RUN]
+            most = max(most, inside)
+        return most >= RUN * (1 - EDITS) - 1  # some RUN words of the chain hold at least the mean share
+
+
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The columns of p8_found: doc_id, item_id of documents (doc_id, text) that hold a passage of an item (item_id, text)."""
     from ..session import materialize
@@ -199,25 +230,31 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     share = min(1.0, SAMPLE / 10 / max(1, total))  # about ten windows a text
     sample = documents.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(share * 1_000_003))
     basis = randomised_svd(materialize(sample.repartition(8), "leak-sample"), [c for _, c in cuts], idf)
-    targets = vectors([c for _, c in cuts], idf, basis)
+    targets = vectors([c for _, c in cuts], idf) @ basis
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
     owners = np.array([i for i, _ in cuts])
-    shared = spark.sparkContext.broadcast((idf, basis, targets, owners, dict(held)))
+    terms = (idf[:, None] * basis).astype(np.float32)
+    shared = spark.sparkContext.broadcast((terms, idf**2, targets, owners, dict(held)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, q, z, own, texts = shared.value
+        rows_of, squares, z, own, texts = shared.value
+        probes = {i: Probe(w) for i, w in texts.items()}
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                w = words_of(text)
-                if len(w) < RUN * (1 - EDITS):
+            for k in range(0, len(pdf), DOCS_AT_ONCE):
+                part = pdf.iloc[k : k + DOCS_AT_ONCE]
+                held = [(doc, w) for doc, w in zip(part["doc_id"], map(words_of, part["text"])) if len(w) >= RUN * (1 - EDITS)]
+                if not held:
                     continue
-                found = vectors(windows(buckets(w)), weights, q)
-                near = (found @ z.T >= COSINE).any(axis=0)
-                for item in np.unique(own[near]):
-                    length, _ = chain(w, texts[item])
-                    if length >= RUN:
-                        rows.append((doc, int(item)))
+                found = [projected(buckets(w), rows_of, squares) for _, w in held]
+                first = np.cumsum([0] + [len(f) for f in found[:-1]])
+                near = np.logical_or.reduceat(np.concatenate(found) @ z.T >= COSINE, first)
+                for j in np.flatnonzero(near.any(axis=1)):
+                    doc, w = held[j]
+                    seen = set(w)
+                    for item in np.unique(own[near[j]]):
+                        if probes[item].possible(seen) and chain(w, texts[item])[0] >= RUN:
+                            rows.append((doc, int(item)))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id"])
 
     return documents.select("doc_id", "text").mapInPandas(search, "doc_id bigint, item_id bigint")
