@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: list[str] = []
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings case_studies "
     "discovered_urls fetch_manifest raw_pages run_log taxonomy eval_items mix_targets"
@@ -35,15 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset and the master is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset and the master is local, a folder that is
+    removed when the process ends; on a cluster there is no such substitute."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = os.path.join(tempfile.gettempdir(), f"storyloom-{os.getpid()}")
-    spark.conf.set("spark.checkpoint.dir", f"file://{base}")
-    return f"file://{base}"
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="storyloom-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return f"file://{_LOCAL[0]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -39,8 +39,15 @@ def read_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(T.StructType([*schema, T.StructField("_bad", T.StringType())])).option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.where("_bad is null").select(*schema.names)
+    return _whole(spark.read.text(path, wholetext=True), schema)
+
+
+def _whole(files: DataFrame, schema: T.StructType, strict: bool = False, *more) -> DataFrame:
+    """Objects of files read whole: one object or an array of them; what cannot be parsed is dropped, or fails the query."""
+    parsed = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    rows = files.select(parsed.alias("rows"), *more)
+    kept = [c for c in rows.columns if c != "rows"]
+    return rows.select(F.explode("rows").alias("r"), *kept).where("r is not null").select("r.*", *kept)
 
 
 def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -48,10 +55,8 @@ def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFr
 
     Unreadable files are dropped, or fail the query if strict. Broken contents of readable ones are left to normalise()."""
     schema = T.StructType.fromDDL(RECORD_DDL)
-    wanted = T.StructType([*schema, T.StructField("_bad", T.StringType())])
-    reader = spark.read.schema(wanted).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    rows = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.select(*schema.names, "_bad", F.col("_metadata.file_path").alias("path")).where("_bad is null").drop("_bad")
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    return _whole(files, schema, strict, F.col("_metadata.file_path").alias("path"))
 
 
 def read_sources(spark: SparkSession, path: str, vendor: str | None = None) -> DataFrame:
