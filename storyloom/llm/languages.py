@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pt")
 #: Names under which labels mean a language (fixed values): codes of two and three letters and English names.
 LABELS = {
@@ -130,6 +132,7 @@ def sample_grams(sample: DataFrame, judge: Profiles | None = None) -> dict[str,
         yield pd.DataFrame(rows, columns=["code", "gram", "n"])
 
     total = sample.mapInPandas(count, "code string, gram string, n bigint").groupBy("code", "gram").agg(F.sum("n").alias("n"))
+    total = materialize(total, "language-grams")
     out: dict[str, Counter] = defaultdict(Counter)
     for code in LANGUAGES:
         for r in total.where(F.col("code") == code).orderBy(F.desc("n"), "gram").limit(PROFILE).collect():
@@ -139,8 +142,6 @@ def sample_grams(sample: DataFrame, judge: Profiles | None = None) -> dict[str,
 
 def learn(documents: DataFrame, sample: int = SAMPLE) -> Profiles:
     """Profiles from about `sample` labelled rows per language, chosen by hash of the text: the bound holds at any size."""
-    from ..session import materialize
-
     labelled = documents.select("text", label_language(F.col("lang")).alias("code")).where("code is not null and text is not null")
     sizes = {r["code"]: r["n"] for r in labelled.groupBy("code").agg(F.count("*").alias("n")).collect()}  # seven rows
     share = F.lit(0.0)
