@@ -209,5 +209,6 @@ def mapped_values(case_studies: DataFrame, taxonomy: DataFrame) -> DataFrame:
     known = labelled.join(entries, ["field", "entry"], "left_semi").unionByName(labelled.where(F.col("entry") == NONE))
     spellings = known.unionByName(entries.select("field", "entry", F.col("entry").alias("spelling"))).distinct()
     values = typed_values(case_studies)
-    asked = values.join(entries.select("field", F.col("entry").alias("typed")), ["field", "typed"], "left_anti")
+    spread = 2 * spark.sparkContext.defaultParallelism  # few bytes, much work: more tasks than their size would give
+    asked = values.join(entries.select("field", F.col("entry").alias("typed")), ["field", "typed"], "left_anti").repartition(spread)
     return match_values(asked, spellings)

@@ -235,7 +235,8 @@ def verified(pairs: DataFrame, keys: DataFrame) -> DataFrame:
             yield out[out["score"] >= LINK]
 
     a, b = (keys.select(F.col("key").alias(f"key_{s}"), F.col("words").alias(f"words_{s}"), F.col("kind").alias(f"kind_{s}")) for s in "ab")
-    return pairs.join(a, "key_a").join(b, "key_b").mapInPandas(score, "key_a bigint, key_b bigint, score double")
+    spread = 2 * pairs.sparkSession.sparkContext.defaultParallelism  # few bytes, much work
+    return pairs.join(a, "key_a").join(b, "key_b").repartition(spread).mapInPandas(score, "key_a bigint, key_b bigint, score double")
 
 
 def stars(keys: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
