@@ -23,7 +23,7 @@ def canonical_url(url: Column) -> Column:
     path = F.regexp_replace(path, "/+$", "")
     params = F.filter(F.split(F.regexp_extract(plain, r"\?(.*)$", 1), "[&;]"), lambda p: (p != "") & ~F.lower(p).rlike(r"^utm_") & ~F.lower(F.substring_index(p, "=", 1)).isin(TRACKING))
     page = F.concat_ws("?", F.concat(host, path), F.nullif(F.array_join(F.array_sort(params), "&"), F.lit("")))
-    return F.coalesce(F.try_url_decode(F.replace(page, F.lit("+"), F.lit("%2B"))), page)
+    return F.when(url.isNotNull(), F.coalesce(F.try_url_decode(F.replace(page, F.lit("+"), F.lit("%2B"))), page))
 
 
 def listings(discovered: DataFrame, run_log: DataFrame) -> DataFrame:
