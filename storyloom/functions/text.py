@@ -200,3 +200,26 @@ def image_kind(body: Column) -> Column:
         F.when(h.startswith("89504E470D0A1A0A"), ".png").when(h.startswith("FFD8FF"), ".jpg").when(h.startswith("474946383761") | h.startswith("474946383961"), ".gif")
         .when(h.startswith("52494646") & F.substring(h, 1, 32).contains("57454250"), ".webp").when(h.contains("6674797061766966"), ".avif").when(svg, ".svg")
     )
+
+
+def filled_template(template: str, **values: Column) -> Column:
+    """A template with its {name} parts replaced; empty and null values leave nothing."""
+    import re
+
+    parts = [F.coalesce(values[x], F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(re.split(r"\{(\w+)\}", template))]
+    return F.concat(*parts)
+
+
+def titled(title: Column) -> Column:
+    return F.coalesce(F.nullif(title, F.lit("")), F.lit("(no title)"))
+
+
+def banner(records: Column, samples: Column) -> Column:
+    """How many records there are, and how many of them are samples."""
+    noun = lambda n: F.when(n == 1, "record").otherwise("records")
+    real = F.concat((records - samples).cast("string"), F.lit(" extracted and "), samples.cast("string"), F.lit(" sample"))
+    return F.concat(records.cast("string"), F.lit(" "), noun(records), F.when(samples > 0, F.concat(F.lit(": "), real)).otherwise(F.lit("")))
+
+
+def utc_now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

@@ -161,3 +161,36 @@ def fetch_with(urls: DataFrame, transport, delay_seconds: float = 1.0, partition
 
     spread = urls.select("url", T.host(F.col("url")).alias("host")).distinct().repartition(partitions, "host")
     return spread.mapInPandas(run, "url string, status int, body binary, content_type string, error string")
+
+
+def cached(urls: DataFrame, cache: DataFrame) -> DataFrame:
+    """urls (url) with what a cache keyed by the SHA-256 of the address (key, body) holds for them.
+
+    A hit counts as status 200 of unknown type; a miss keeps nulls and from_cache false."""
+    hit = urls.withColumn("key", F.sha2("url", 256)).join(cache.select("key", "body"), "key", "left").drop("key")
+    there = F.col("body").isNotNull()
+    return hit.select(*hit.columns, F.when(there, 200).alias("status"), F.when(there, "application/octet-stream").alias("content_type"), there.alias("from_cache"))
+
+
+def walk_sitemaps(roots: list[str], transport, wanted=lambda url: True, most: int = 20, enough: int | None = None) -> list[tuple[str, str | None]]:
+    """(url, lastmod) found breadth first from sitemaps on the driver: one site's index, not a data set.
+
+    Only sitemaps that could be read count towards `most`; the walk ends early once `enough` wanted pages are found, and known
+    pages count as found. transport: url -> (status, bytes, content type); its errors are passed over."""
+    from ..functions.html import sitemap
+
+    queue, seen, read, found = list(roots), set(roots), 0, []
+    while queue and read < most and (enough is None or len(found) < enough):
+        try:
+            status, body, _ = transport(queue.pop(0))
+        except Exception:  # noqa: BLE001 - a sitemap that can't be had is passed over
+            continue
+        if not 200 <= status < 400:
+            continue
+        read += 1
+        nested, pages = sitemap(body)
+        found += [p for p in pages if wanted(p[0])]
+        fresh = [n for n in nested if n not in seen]
+        seen.update(fresh)
+        queue += fresh
+    return found if enough is None else found[:enough]

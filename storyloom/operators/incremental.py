@@ -130,20 +130,21 @@ def lastmod_day(lastmod):
     return F.to_date(F.try_to_timestamp(full, F.lit("yyyy-MM-dd")))
 
 
-def due_urls(discovered: DataFrame, manifest: DataFrame, run_log: DataFrame) -> DataFrame:
+def due_urls(listings: DataFrame, attempts: DataFrame) -> DataFrame:
     """Distinct url that the next fetch run must take.
 
-    discovered: url, lastmod. manifest: url, status, error, fetched_at. A url is due if no attempt at it is done, or if its
-    latest lastmod is a later day than the UTC day of its last done attempt. Done: status 200, no error, in a fetch run that
-    succeeded. Null urls are none; unreadable times belong to no run."""
-    listed = discovered.where("url is not null").groupBy("url").agg(F.max("lastmod_day").alias("lastmod_day"))
-    done = manifest.groupBy("url").agg(F.max("done_at").alias("done_at"))
+    listings: url, lastmod_day (latest_listings). attempts: url, done_at (done_attempts). A url is due if no attempt at it is
+    done, or if its latest lastmod is a later day than the UTC day of its last done attempt. Null urls are none."""
+    listed = listings.where("url is not null").groupBy("url").agg(F.max("lastmod_day").alias("lastmod_day"))
+    done = attempts.groupBy("url").agg(F.max("done_at").alias("done_at"))
     joined = listed.join(done, "url", "left")
     return joined.where(F.col("done_at").isNull() | (F.col("lastmod_day") > F.to_date("done_at"))).select("url")
 
 
 def done_attempts(manifest: DataFrame, run_log: DataFrame) -> DataFrame:
-    """url, done_at, input_path: the last done attempt per url of each input file."""
+    """url, done_at, input_path: the last done attempt per url of each input file.
+
+    Done: status 200, no error, in a fetch run that succeeded; unreadable times belong to no run."""
     good = manifest.where((F.col("status") == 200) & (F.coalesce(F.trim("error"), F.lit("")) == "") & F.col("url").isNotNull())
     timed = good.select("url", "input_path", F.try_to_timestamp("fetched_at").alias("at"))
     ok = run_of(timed, run_log, "fetch", "at").where(F.col("run_status") == "success")
@@ -164,7 +165,7 @@ def plan_fetch(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     attempts = IncrementalRun(spark, f"{sf_dir}/fetch_manifest.parquet", f"{state}/attempts")
     ledgers.run(latest_listings)
     attempts.run(lambda rows: done_attempts(rows, run_log))
-    return due_urls(ledgers.output(), attempts.output(), run_log)
+    return due_urls(ledgers.output(), attempts.output())
 
 
 def latest_by(rows: DataFrame, key: list[str], order: list) -> DataFrame:

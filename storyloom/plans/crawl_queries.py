@@ -255,3 +255,33 @@ def page_boilerplate_lines(spark, d):
 @query("page_headlines", "select raw_path, trim(regexp_extract(body, '<title>([^<]*)</title>', 1)) title from raw_pages where contains(body, '<title>')")
 def page_headlines(spark, d):
     return table(spark, d, "raw_pages").where(F.col("body").contains("<title>")).select("raw_path", F.trim(F.regexp_extract("body", "<title>([^<]*)</title>", 1)).alias("title"))
+
+
+@query("page_prompts", "select raw_path, 'Page ' || raw_path || chr(10) || 'Title ' || coalesce(nullif(vendor, ''), '(no title)') || chr(10) || case when length(body) > 1500 then substr(body, 1, 1500) || chr(10) || '...[truncated]' else body end prompt from raw_pages")
+def page_prompts(spark, d):
+    text = T.filled_template("Page {path}\nTitle {title}\n{body}", path=F.col("raw_path"), title=T.titled(F.col("vendor")), body=T.truncated(F.col("body"), 1500))
+    return table(spark, d, "raw_pages").select("raw_path", text.alias("prompt"))
+
+
+@query("rec_banner", "select r || case when r = 1 then ' record' else ' records' end || case when s > 0 then ': ' || (r - s) || ' extracted and ' || s || ' sample' else '' end banner from (select count(*) r, count(*) filter (is_sample) s from case_studies)")
+def rec_banner(spark, d):
+    counts = table(spark, d, "case_studies").agg(F.count("*").alias("r"), F.count_if("is_sample").alias("s"))
+    return counts.select(T.banner(F.col("r"), F.col("s")).alias("banner"))
+
+
+@query("rec_json", "select id, products from (select id, to_json(products_used)::varchar products from case_studies where products_used is not null)")
+def rec_json(spark, d):
+    return table(spark, d, "case_studies").where("products_used is not null").select("id", F.to_json("products_used").alias("products"))
+
+
+@query("crawl_cached", "select url, case when k % 2 = 0 then 200 else 0 end status, k % 2 = 0 from_cache from (select distinct url, length(url) k from discovered_urls where url is not null)")
+def crawl_cached(spark, d):
+    urls = du(spark, d).where("url is not null").select("url").distinct()
+    cache = urls.where("length(url) % 2 = 0").select(F.sha2("url", 256).alias("key"), F.lit(b"x").alias("body"))
+    return C.cached(urls, cache).select("url", F.coalesce("status", F.lit(0)).alias("status"), "from_cache")
+
+
+@query("crawl_listings_per_day", "select cast(try_cast(discovered_at as timestamptz) at time zone 'UTC' as date)::varchar \"day\", vendor, count(*) listings from discovered_urls where try_cast(discovered_at as timestamptz) is not null group by 1, 2")
+def crawl_listings_per_day(spark, d):
+    timed = du(spark, d).withColumn("seen_at", F.try_to_timestamp("discovered_at")).where("seen_at is not null")
+    return timed.groupBy(F.window("seen_at", "1 day").alias("w"), "vendor").agg(F.count("*").alias("listings")).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "vendor", "listings")

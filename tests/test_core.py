@@ -223,6 +223,25 @@ def test_incremental_run(spark, tmp_path):
     assert run.output().count() == 10
 
 
+def test_sitemap_walk_counts_only_read_ones():
+    ns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+    site = {
+        "i": f"<sitemapindex {ns}><sitemap><loc>gone</loc></sitemap><sitemap><loc>a</loc></sitemap><sitemap><loc>i</loc></sitemap><sitemap><loc>b</loc></sitemap></sitemapindex>",
+        "a": f"<urlset {ns}><url><loc>a1</loc></url><url><loc>x</loc></url></urlset>", "b": f"<urlset {ns}><url><loc>b1</loc></url></urlset>",
+    }
+    get = lambda u: (200, site[u], "") if u in site else (404, "", "")
+    assert C.walk_sitemaps(["i"], get, lambda u: u != "x") == [("a1", None), ("b1", None)]
+    assert C.walk_sitemaps(["i"], get, most=2) == [("a1", None), ("x", None)]
+    assert C.walk_sitemaps(["i"], get, enough=1) == [("a1", None)]
+
+
+def test_unpacked():
+    import gzip
+
+    assert H.unpacked(gzip.compress(b"a"), "gzip", "u") == b"a" == H.unpacked(gzip.compress(b"a"), None, "u.gz")
+    assert H.unpacked(b"plain", "gzip", "u") == b"plain" and H.unpacked(None, "gzip", "u") is None
+
+
 def test_stream(spark, tmp_path):
     from storyloom.streaming import ledger as L
 
