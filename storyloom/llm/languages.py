@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, spread
 
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pt")
 #: Names under which labels mean a language (fixed values): codes of two and three letters and English names.
@@ -171,7 +171,15 @@ def document_passages(documents: DataFrame, profiles: Profiles | None = None) ->
                     rows.append((doc, i, lang, confidence, len(p.split())))
             yield pd.DataFrame(rows, columns=["doc_id", "passage", "language", "confidence", "words"])
 
-    return documents.select("doc_id", "text").mapInPandas(run, SPANS_DDL)
+    return spread(documents.select("doc_id", "text")).mapInPandas(run, SPANS_DDL)
+
+
+def foreign_passages(documents: DataFrame, profiles: Profiles | None = None) -> DataFrame:
+    """doc_id, passage, language, confidence of the passages clearly in another language than most words of their document."""
+    rows = document_passages(documents, profiles).where(F.col("confidence") >= CLEAR)
+    sums = Window.partitionBy("doc_id", "language")
+    main = F.max_by("language", F.struct("in_language", "language")).over(Window.partitionBy("doc_id"))  # a document's passages
+    return rows.withColumn("in_language", F.sum("words").over(sums)).withColumn("main", main).where("language <> main").select("doc_id", "passage", "language", "confidence")
 
 
 def document_languages(documents: DataFrame, profiles: Profiles | None = None) -> DataFrame:
@@ -200,7 +208,7 @@ def document_languages(documents: DataFrame, profiles: Profiles | None = None) -
                 rows += [(doc, code, lang, n / total, trust[lang] / n, lang == main) for lang, n in words.items()]
             yield pd.DataFrame(rows, columns=["doc_id", "labelled", "lang", "share", "confidence", "is_main"])
 
-    rows = documents.select("doc_id", label_language(F.col("lang")).alias("code"), "text")
+    rows = spread(documents.select("doc_id", label_language(F.col("lang")).alias("code"), "text"))
     return rows.mapInPandas(run, "doc_id bigint, labelled string, lang string, share double, confidence double, is_main boolean")
 
 

@@ -217,9 +217,10 @@ class Probe:
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The columns of p8_found: doc_id, item_id of documents (doc_id, text) that hold a passage of an item (item_id, text)."""
-    from ..session import materialize
+    from ..session import materialize, spread
 
     spark = documents.sparkSession
+    documents = spread(documents.select("doc_id", "text"))
     held = sorted((r["item_id"], words_of(r["text"])) for r in items.select("item_id", "text").collect())  # the held-out set
     held = [(i, w) for i, w in held if len(w) >= RUN]
     if not held:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, spread
 
 #: Residuals that one task of the reduction tree rounds.
 FAN_IN = 64
@@ -50,7 +50,7 @@ def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": [len(encoding.encode_ordinary(t)) if t else 0 for t in pdf["text"]]})
 
-    return documents.select("doc_id", "source", "text").mapInPandas(count, "doc_id bigint, source string, tokens bigint")
+    return spread(documents.select("doc_id", "source", "text")).mapInPandas(count, "doc_id bigint, source string, tokens bigint")
 
 
 def plan_sources(sizes: dict[str, int], targets: list[tuple[str, float, int]], total: int | None = None) -> dict[str, float]:

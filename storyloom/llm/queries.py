@@ -64,6 +64,24 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).select("doc_id", "source", "copies")
+
+
+def p10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .languages import document_languages
+
+    return document_languages(table(spark, sf_dir, "documents"))
+
+
+def p10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .languages import foreign_passages
+
+    return foreign_passages(table(spark, sf_dir, "documents"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .languages import wrong_labels
 
