@@ -62,11 +62,12 @@ EXEMPLARS: list[tuple[str, str]] = [
 PLACEHOLDERS = (
     r"\{\{[^{}]{1,60}\}\}", r"\{%[^{}]{1,60}%\}", r"<%[^<>]{1,60}%>", r"\$\{[^{}]{1,60}\}", r"#\{[^{}]{1,60}\}", r"%%[^%\s]{1,40}%%", r"@@[^@\s]{1,40}@@",
     r"\[\[[^\[\]]{1,60}\]\]", r"\[(?:INSERT|ADD|YOUR|TBD|TODO)\b[^\[\]]{0,60}\]", r"\[[A-Za-z][\w'’-]*(?: [A-Za-z][\w'’-]*){0,5}\]", r"__[A-Z][A-Z0-9_]*__", r"(?<![\w{])\{[a-z_]*\d*\}(?!\w)",
-    r"%\([a-z_]+\)[sd]", r"(?<!\S)%[sd](?![\w%])", r"<[a-z]+(?: [a-z]+){1,5} here>", r"\bXX+ ?%|\bXX+\b", r"\bnull null\b", r"\bundefined\b", r"\bNaN\b", r"\bTODO:",
+    r"%\([a-z_]+\)[sd]", r"(?<!\S)%[sd](?![\w%])", r"<[a-z]+(?: [a-z]+){1,5} here>", r"<(?:add|insert|enter|your|replace|put|fill|write|name|company|customer|product|quote)\b[^<>=]{0,40}>", r"\bXX+ ?%|\bXX+\b", r"\bnull null\b", r"\bundefined\b", r"\bNaN\b", r"\bTODO:", r"\bFIXME\b",
+    r"\bTK TK\b|\bTKTK\b", r"\b(?:INSERT|YOUR) [A-Z]+(?: [A-Z]+)? HERE\b",
 )
 PLACEHOLDER = re.compile("|".join(PLACEHOLDERS))
 #: What every such shape holds: a quick look before the full patterns.
-PLACEHOLDER_SIGN = re.compile(r"[{\[<@_]|%[%(sd]|#\{|XX|null null|undefined|NaN|TODO:")
+PLACEHOLDER_SIGN = re.compile(r"[{\[<@_]|%[%(sd]|#\{|XX|null null|undefined|NaN|TODO:|FIXME|TK ?TK| HERE\\b")
 #: Words after which a placeholder is talked about, not left unfilled (fixed values).
 MENTION = frozenset("word words term terms mark marks token tokens tag tags variable variables syntax string strings called named like literal placeholder placeholders template templates mot balise wort marke zeichenfolge".split())
 
