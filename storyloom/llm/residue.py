@@ -67,7 +67,7 @@ PLACEHOLDERS = (
 )
 PLACEHOLDER = re.compile("|".join(PLACEHOLDERS))
 #: What every such shape holds: a quick look before the full patterns.
-PLACEHOLDER_SIGN = re.compile(r"[{\[<@_]|%[%(sd]|#\{|XX|null null|undefined|NaN|TODO:|FIXME|TK ?TK| HERE\\b")
+PLACEHOLDER_SIGN = re.compile(r"[{\[<@_]|%[%(sd]|#\{|XX|null null|undefined|NaN|TODO:|FIXME|TK ?TK| HERE\b")
 #: Words after which a placeholder is talked about, not left unfilled (fixed values).
 MENTION = frozenset("word words term terms mark marks token tokens tag tags variable variables syntax string strings called named like literal placeholder placeholders template templates mot balise wort marke zeichenfolge".split())
 
