@@ -194,3 +194,10 @@ def walk_sitemaps(roots: list[str], transport, wanted=lambda url: True, most: in
         seen.update(fresh)
         queue += fresh
     return found if enough is None else found[:enough]
+
+
+def checked_limits(assets: int, timeout_seconds: float, least_score: int) -> tuple[int, float, int]:
+    """The limits of an extraction as given, or a ValueError: assets from 0, a positive timeout, a score from 1."""
+    if assets < 0 or timeout_seconds <= 0 or least_score < 1:
+        raise ValueError("assets must be 0 or more, the timeout above 0 and the least score 1 or more")
+    return assets, timeout_seconds, least_score

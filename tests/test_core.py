@@ -242,6 +242,36 @@ def test_unpacked():
     assert H.unpacked(b"plain", "gzip", "u") == b"plain" and H.unpacked(None, "gzip", "u") is None
 
 
+def test_cli(spark, tmp_path, sf):
+    from storyloom.cli import main
+
+    (tmp_path / "d.jsonl").write_text("\n".join(json.dumps({"vendor": "V", "url": u, "lastmod": m}) for u, m in (("a", "2025-01-01"), ("b", None), ("c", "2025-02-01"))))
+    (tmp_path / "m.jsonl").write_text(json.dumps({"vendor": "V", "url": "a", "status": 200, "raw_path": "r", "sha256": "s"}) + "\n" + json.dumps({"vendor": "V", "url": "c", "status": 0, "error": "x"}) + "\n")
+    ledgers = ["--discovered", str(tmp_path / "d.jsonl"), "--manifest", str(tmp_path / "m.jsonl")]
+    main(["fetch-queue", *ledgers, "--out", str(tmp_path / "q")])
+    assert sorted(r["url"] for r in spark.read.json(str(tmp_path / "q")).collect()) == ["b", "c"]
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r/a.json").write_text(json.dumps([record(id="a", vendor=""), record(id="b")]))
+    main(["extract-queue", *ledgers, "--records", str(tmp_path / "r"), "--out", str(tmp_path / "x")])
+    assert [(r["url"], r["published_date"]) for r in spark.read.json(str(tmp_path / "x")).collect()] == [("a", "2025-01-01")]
+    main(["validate", "--records", str(tmp_path / "r"), "--out", str(tmp_path / "v")])
+    assert [r["id"] for r in spark.read.json(str(tmp_path / "v")).collect()] == ["a"]
+    main(["merge", "--samples", str(tmp_path / "r"), "--records", str(tmp_path / "r"), "--out", str(tmp_path / "all.json")])
+    assert [r["id"] for r in json.loads((tmp_path / "all.json").read_text())] == ["a", "b"]
+    (tmp_path / "p.html").write_text("<title>T</title><p>x</p>")
+    main(["clean", "--input", str(tmp_path / "p.html"), "--out", str(tmp_path / "p.txt")])
+    assert (tmp_path / "p.txt").read_text() == "# T\n\nx\n"
+    main(["run", "a09_unique_vendors", "--tables", sf, "--out", str(tmp_path / "o")])
+    assert spark.read.parquet(str(tmp_path / "o")).count() > 0
+
+
+def test_checked_limits():
+    assert C.checked_limits(0, 4.0, 8) == (0, 4.0, 8)
+    for bad in ((-1, 4, 8), (0, 0, 8), (0, 4, 0)):
+        with pytest.raises(ValueError):
+            C.checked_limits(*bad)
+
+
 def test_stream(spark, tmp_path):
     from storyloom.streaming import ledger as L
 
