@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import text as T
 from ..operators import crawl as C
-from ..session import table
+from ..session import spread, table
 from .registry import query
 
 #: A configuration as the sources file holds it.
@@ -182,7 +182,7 @@ def crawl_host_strategies(spark, d):
 
 @query("crawl_blocked_pages", "select raw_path from raw_pages where " + " or ".join("contains(lower(substr(body, 1, 4000)), '{}')".format(m.replace("'", "''")) for m in T.BLOCKED_MARKERS))
 def crawl_blocked_pages(spark, d):
-    return table(spark, d, "raw_pages").where(T.looks_blocked(F.lit(200), F.col("body"))).select("raw_path")
+    return spread(table(spark, d, "raw_pages").select("raw_path", "body")).where(T.looks_blocked(F.lit(200), F.col("body"))).select("raw_path")
 
 
 @query("crawl_content_kinds", "select case when contains(lower(content_type), 'pdf') or contains(substr(body, 1, 1024), '%PDF-') then 'pdf' when contains(lower(content_type), 'html') or contains(lower(content_type), 'xml') or regexp_matches(lower(substr(body, 1, 2048)), '<html|<!doctype html|<article|<main|<body') then 'html' else 'text' end kind, case when contains(lower(content_type), 'pdf') then '.pdf' when contains(lower(content_type), 'json') then '.json' when starts_with(lower(content_type), 'text/plain') then '.txt' else '.html' end suffix, count(*) pages from raw_pages group by 1, 2")
@@ -223,17 +223,17 @@ def _base():
 
 @query("page_texts")
 def page_texts(spark, d):
-    return table(spark, d, "raw_pages").select("raw_path", H.page_text("body", "content_type").alias("t")).select("raw_path", "t.title", "t.text", "t.method")
+    return spread(table(spark, d, "raw_pages")).select("raw_path", H.page_text("body", "content_type").alias("t")).select("raw_path", "t.title", "t.text", "t.method")
 
 
 @query("page_links")
 def page_links(spark, d):
-    return table(spark, d, "raw_pages").select("raw_path", F.posexplode(H.page_links("body", _base())).alias("position", "url"))
+    return spread(table(spark, d, "raw_pages")).select("raw_path", F.posexplode(H.page_links("body", _base())).alias("position", "url"))
 
 
 @query("page_images")
 def page_images(spark, d):
-    return table(spark, d, "raw_pages").select("raw_path", F.explode(H.page_images("body", "content_type", _base())).alias("image")).select("raw_path", "image.*")
+    return spread(table(spark, d, "raw_pages")).select("raw_path", F.explode(H.page_images("body", "content_type", _base())).alias("image")).select("raw_path", "image.*")
 
 
 @query("page_clean_lengths")
