@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .residue import WORD
 
 #: Share of the longer text's words that may differ.
-RATIO = 0.11
+RATIO = 0.12
 SEGMENT_WORDS, RESERVE, MIN_WORDS = 5, 1, 8
 #: Texts whose segments are counted to tell common phrases from rare ones; the choice affects speed only, not the result.
 SAMPLE = 3000
