@@ -3,9 +3,10 @@
 Texts are cut into overlapping windows and weighted by TF-IDF over hashed words, with document counts of the whole corpus.
 A distributed randomised SVD, fitted on a bounded sample of corpus windows and on all windows of the evaluation items, gives
 the latent space; every corpus window is projected and compared with every item window (the items are a fixed, small set)
-by cosine. Documents with a candidate window are then checked word by word: a chain of common words that follows the item
-with few edits, cut at most once by other text, and long enough; the same chain tells which items differ only in their
-answers (numbers, codes), as these count as edits.
+by cosine. What this leaves is retrieved exactly: an index of the items' words tells for every document which items it holds
+enough words of for a chain to be possible. Candidates are then checked word by word: a chain of common words that follows
+the item with few edits, cut at most once by other text, and long enough; the same chain tells which items differ only in
+their answers (numbers, codes), as these count as edits.
 
 Null and empty texts match nothing; items of fewer than RUN words can't leak by definition.
 """
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 #: Words in a row that make a leak, and the share of them that may be changed, added or missing.
 RUN, EDITS = 20, 0.2
 WINDOW, STEP = 24, 8
-BUCKETS, RANK, POWER, SAMPLE = 8192, 96, 2, 20_000
+BUCKETS, RANK, POWER, SAMPLE = 8192, 128, 2, 20_000
 #: Least cosine in the latent space; chosen for recall, as every candidate is checked afterwards.
-COSINE = 0.42
+COSINE = 0.3
 GAP = 3
 DOCS_AT_ONCE = 256
 WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
@@ -81,7 +82,8 @@ def document_counts(documents: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf_weights(counts: np.ndarray, total: int) -> np.ndarray:
-    return np.log((1 + total) / (1 + counts)) ** 2 + 1e-3
+    """Not squared: an item that leaked into much of the corpus must keep weight beside the other words of a window."""
+    return np.log((1 + total) / (1 + counts)) + 1e-3
 
 
 def vectors(cuts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
@@ -215,6 +217,33 @@ class Probe:
         return most >= RUN * (1 - EDITS) - 1  # some RUN words of the chain hold at least the mean share
 
 
+class WordIndex:
+    """The items' words by position: what Probe.possible says of each item, for all items at once."""
+
+    def __init__(self, probes: dict[int, Probe]):
+        self.items = np.array(sorted(probes))
+        words = [probes[i].words for i in self.items]
+        self.ids = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}))}
+        self.at = np.array([self.ids[w] for ws in words for w in ws], dtype=np.int32)
+        first = np.cumsum([0] + [len(ws) for ws in words])
+        self.starts = np.concatenate([np.arange(a, b - RUN + 1) for a, b in zip(first, first[1:])])
+        self.bounds = np.cumsum([0] + [len(ws) - RUN + 1 for ws in words[:-1]])
+        self.plain = np.array([probes[i].plain for i in self.items])
+        self.answers = [np.array([self.ids[w] for w in probes[i].answers], dtype=np.int32) for i in self.items]
+
+    def possible(self, seen: set[str]) -> list[int]:
+        """Items of which a text with these words may hold a chain."""
+        known = [self.ids[w] for w in seen if w in self.ids]
+        if len(known) < 2:
+            return []
+        held = np.zeros(len(self.ids), dtype=np.int32)
+        held[known] = 1
+        sums = np.zeros(len(self.at) + 1, dtype=np.int32)
+        np.cumsum(held[self.at], out=sums[1:])
+        most = np.maximum.reduceat(sums[self.starts + RUN] - sums[self.starts], self.bounds)
+        return [int(self.items[k]) for k in np.flatnonzero(most >= RUN * (1 - EDITS) - 1) if self.plain[k] or held[self.answers[k]].any()]
+
+
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The columns of p8_found: doc_id, item_id of documents (doc_id, text) that hold a passage of an item (item_id, text)."""
     from ..session import materialize, spread
@@ -240,6 +269,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows_of, squares, z, own, texts = shared.value
         probes = {i: Probe(w) for i, w in texts.items()}
+        index = WordIndex(probes)
         for pdf in batches:
             rows = []
             for k in range(0, len(pdf), DOCS_AT_ONCE):
@@ -250,12 +280,10 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 found = [projected(buckets(w), rows_of, squares) for _, w in held]
                 first = np.cumsum([0] + [len(f) for f in found[:-1]])
                 near = np.logical_or.reduceat(np.concatenate(found) @ z.T >= COSINE, first)
-                for j in np.flatnonzero(near.any(axis=1)):
-                    doc, w = held[j]
+                for (doc, w), close in zip(held, near):
                     seen = set(w)
-                    for item in np.unique(own[near[j]]):
-                        if probes[item].possible(seen) and chain(w, texts[item])[0] >= RUN:
-                            rows.append((doc, int(item)))
+                    retrieved = {int(i) for i in np.unique(own[close]) if probes[i].possible(seen)}
+                    rows += [(doc, i) for i in sorted(retrieved.union(index.possible(seen))) if chain(w, texts[i])[0] >= RUN]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id"])
 
     return documents.select("doc_id", "text").mapInPandas(search, "doc_id bigint, item_id bigint")

@@ -266,6 +266,26 @@ def test_chain_counts_edits_and_answers():
     assert leaks.chain([], item) == (0, 0)
 
 
+def test_hot_item_beside_rare_words(spark):
+    """An item in a third of the documents, leaked once more among words that weigh more: below any cosine, found exactly."""
+    hot, rng = item_text(3), random.Random(4)
+    docs = [(d, hot if d % 3 == 0 else " ".join(f"filler{rng.randrange(4000)}" for _ in range(60))) for d in range(300)]
+    passage = hot.split()[:25]
+    docs += [(1000, " ".join(x for k in range(5) for x in [*passage[5 * k : 5 * k + 5], f"filler{3000 + k}"]))]
+    docs += [(1001, " ".join([*passage[:13], *(f"filler{k}" for k in range(40)), *passage[13:], *(f"filler{k}" for k in range(40, 80))]))]
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(3, hot)], "item_id bigint, text string"))
+    assert {r["doc_id"] for r in got.collect()} == {*range(0, 300, 3), 1000, 1001}
+
+
+def test_word_index_equals_probes():
+    items = {i: leaks.words_of(item_text(i)) for i in range(20)} | {30: ["plain"] * 20, 31: [f"w{k}" for k in range(20)]}
+    probes = {i: leaks.Probe(w) for i, w in items.items()}
+    index, rng = leaks.WordIndex(probes), random.Random(6)
+    for _ in range(200):
+        seen = {w for i in rng.sample(sorted(items), 3) for w in items[i] if rng.random() < 0.9} | {"other"}
+        assert index.possible(seen) == [i for i in sorted(items) if probes[i].possible(seen)]
+
+
 # --- 9: mixing ---
 
 
