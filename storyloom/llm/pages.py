@@ -6,6 +6,10 @@ Pass 2 parses the pages again and keeps the lines that stand in the winning cont
 pages fill with the same few texts (share bars, calls to action). Class names lose their digits, so that numbered classes
 of one template fall together. Pages delivered as plain text by a reader service carry no tags and are cut by layout.
 
+A container is a story path where it wins on a share of its host's pages, or on most of the pages that hold it, however few
+these are: rare designs have their own paths. A page with none of these is read by its own best container,
+leaving aside those whose innermost tag and class mostly hold prose beside a better one: furniture is no story, however nested.
+
 Null or empty bodies give no line. A host of which too few lines are known falls back to the statistics of all hosts.
 """
 
@@ -49,8 +53,10 @@ FEW_TEXTS, REPEATS = 11, 5
 ENOUGH_LINES = 50
 #: A leaf that comes after the story in this share of its lines is no part of it; its own lines count from so many on.
 TAIL_SHARE, ENOUGH_TAIL = 0.9, 8
-#: A container must win on this share of a host's pages to count as one of its story paths.
+#: A container must win on this share of a host's pages to count as one of its story paths, or on so many and on this share
+#: of the pages where it holds prose (those of its own design).
 WIN_SHARE = 0.05
+ENOUGH_WINS, OWN_SHARE = 5, 0.5
 #: Rules sent to the executors at once; beyond it hosts are worked off in blocks.
 MAX_RULES = 200_000
 
@@ -214,6 +220,11 @@ def page_scores(lines: list[tuple[int, str, str, str, bool]]) -> dict[str, float
     return {c: w * (1 - linked[c] / count[c]) ** 2 for c, w in words.items()}
 
 
+def best_container(scores: dict[str, float]) -> str | None:
+    best = max(scores.items(), key=lambda x: (x[1], x[0]), default=(None, 0))
+    return best[0] if best[1] > 0 else None
+
+
 def trailing(lines: list[tuple[int, str, str, str, bool]]) -> list[tuple[int, str, str, str, bool]]:
     """Lines after the last line of the leaf that holds most of their container's words."""
     words: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
@@ -242,13 +253,13 @@ def _stat_rows(acc: dict, wins: dict) -> pd.DataFrame:
     for (host, container, leaf), v in acc.items():
         longs = [(v[4] >> (64 * i)) & mask for i in range(N_LONGS)]
         rows.append([host, container, leaf, v[0], v[1], v[2], v[3], 0, *(x - (1 << 64) if x >> 63 else x for x in longs)])
-    rows += [[host, container, "", 0, 0, 0, 0, n, *[0] * N_LONGS] for (host, container), n in wins.items()]
+    rows += [[host, container, "", held, 0, 0, 0, n, *[0] * N_LONGS] for (host, container), (held, n) in wins.items()]
     return pd.DataFrame(rows, columns=STATS)
 
 
 def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     acc: dict = {}
-    wins: dict = defaultdict(int)
+    wins: dict = defaultdict(lambda: [0, 0])  # pages with prose in the container, votes
     counts: dict = defaultdict(int)
     spelled = residue.vocabulary()
     known = frozenset(spelled)
@@ -280,11 +291,14 @@ def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for _, container, leaf, _, _ in trailing(lines):
                 acc[(host, container, leaf)][3] += 1
             scores = page_scores(lines)
-            if scores and (best := max(scores.items(), key=lambda x: (x[1], x[0])))[1] > 0:
-                wins[(host, best[0])] += 1
+            for container, score in scores.items():
+                if score > 0:
+                    wins[(host, container)][0] += 1
+            if best := best_container(scores):
+                wins[(host, best)][1] += 1
         if len(acc) + len(wins) > FLUSH:
             yield _stat_rows(acc, wins)
-            acc, wins = {}, defaultdict(int)
+            acc, wins = {}, defaultdict(lambda: [0, 0])
     if acc or wins:
         yield _stat_rows(acc, wins)
     if counts:
@@ -294,7 +308,7 @@ def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def path_statistics(pages: DataFrame) -> DataFrame:
     """Per host, container and leaf: lines, link lines, lines with numbers, lines after the container's main text, page votes
-    and a bitmap of the texts seen.
+    (leaf '': n is the pages with prose in the container) and a bitmap of the texts seen.
 
     pages: host, body. Summed inside each partition first, so what is shuffled grows with hosts and paths, not pages."""
     sums = [F.sum(c).alias(c) for c in ("n", "links", "digits", "tail", "wins")]
@@ -311,49 +325,62 @@ def signature(leaf: str) -> str:
     return re.sub(r"\.[^/]*", ".*", leaf)
 
 
+def step(container: str) -> str:
+    return container.rpartition("/")[2]
+
+
 def make_rules(stats: list) -> dict:
-    """host -> (story containers with their votes, (container, leaf) kept or not), from collected statistics."""
-    by_host: dict = defaultdict(lambda: [defaultdict(int), {}])
+    """host -> (story containers with their votes, (container, leaf) kept or not, steps a page may fall back to).
+
+    Under the host None: whether a leaf signature is kept where a page is read by its own best container."""
+    by_host: dict = defaultdict(lambda: [defaultdict(lambda: [0, 0]), {}])
     for r in stats:
         if r["leaf"] == "":
-            by_host[r["host"]][0][r["container"]] += r["wins"]
+            v = by_host[r["host"]][0][r["container"]]
+            v[0] += r["n"]
+            v[1] += r["wins"]
         else:
             bitmap = 0
             for i in range(N_LONGS):
                 bitmap |= (r[f"b{i}"] & ((1 << 64) - 1)) << (64 * i)
             by_host[r["host"]][1][(r["container"], r["leaf"])] = (r["n"], r["links"], r["digits"], r["tail"], bitmap)
     winners: dict = {}
+    fallback: dict = {}
     everywhere: dict = defaultdict(lambda: [0, 0, 0, 0, 0])
     for host, (votes, leaves) in by_host.items():
-        total = sum(votes.values())
-        won = {c: n for c, n in votes.items() if n >= WIN_SHARE * total}
+        total = sum(n for _, n in votes.values())
+        won = {c: n for c, (held, n) in votes.items() if n and (n >= WIN_SHARE * total or (n >= ENOUGH_WINS and n >= OWN_SHARE * held))}
         winners[host] = won
+        by_step: dict = defaultdict(lambda: [0, 0])
+        for c, (held, n) in votes.items():
+            by_step[step(c)][0] += held
+            by_step[step(c)][1] += n
+        fallback[host] = {c for c, (held, n) in by_step.items() if n and n >= OWN_SHARE * held}
         for (container, leaf), v in leaves.items():
             if container in won:
                 e = everywhere[signature(leaf)]
                 for i in range(4):
                     e[i] += v[i]
                 e[4] |= v[4]
-    rules = {}
+    rules: dict = {None: {leaf: kept(leaf, v, v) for leaf, v in everywhere.items()}}
     for host, (_, leaves) in by_host.items():
-        keep = {}
-        for (container, leaf), v in leaves.items():
-            if container not in winners[host]:
-                continue
-            last = signature(leaf).rpartition("/")[2]
-            if re.fullmatch("h[1-6]", last):
-                keep[(container, leaf)] = True
-                continue
-            all_hosts = everywhere[signature(leaf)]
-            n, links, digits, tail, bitmap = v if v[0] >= ENOUGH_LINES else all_hosts
-            few = different(bitmap)
-            fixed = few < FEW_TEXTS and n >= REPEATS * few and digits < 0.5 * n
-            after = v[3] >= TAIL_SHARE * v[0] if v[0] >= ENOUGH_TAIL else all_hosts[3] >= TAIL_SHARE * all_hosts[0]
-            keep[(container, leaf)] = last != "noscript" and not fixed and not after and links < 0.5 * n
-        rules[host] = (winners[host], keep)
+        keep = {(c, leaf): kept(signature(leaf), v, everywhere[signature(leaf)]) for (c, leaf), v in leaves.items() if c in winners[host]}
+        rules[host] = (winners[host], keep, fallback[host])
     return rules
 
 
+def kept(leaf: str, own: tuple | list, all_hosts: tuple | list) -> bool:
+    """Whether lines of a leaf signature are story: by its own statistics, or those of all hosts where it has few lines."""
+    last = leaf.rpartition("/")[2]
+    if re.fullmatch("h[1-6]", last):
+        return True
+    n, links, digits, _, bitmap = own if own[0] >= ENOUGH_LINES else all_hosts
+    few = different(bitmap)
+    fixed = few < FEW_TEXTS and n >= REPEATS * few and digits < 0.5 * n
+    after = own[3] >= TAIL_SHARE * own[0] if own[0] >= ENOUGH_TAIL else all_hosts[3] >= TAIL_SHARE * all_hosts[0]
+    return last != "noscript" and not fixed and not after and links < 0.5 * n
+
+
 def story_lines(host: str, body: str | None, rules: dict, known: residue.Index) -> list[tuple[int, str]]:
     """(line number, text) of the page's own story; nothing for error pages and calls for scripts."""
     lines = raw_story(host, body, rules)
@@ -365,13 +392,14 @@ def raw_story(host: str, body: str | None, rules: dict) -> list[tuple[int, str]]
         return []
     if not is_markup(body):
         return reader_story(body)
-    winners, keep = rules.get(host, ({}, {}))
+    winners, keep, fallback = rules.get(host, ({}, {}, set()))
     lines = parse_markup(body)
     here = {c for _, c, _, _, _ in lines if c in winners}
+    scores = page_scores(lines) if len(here) != 1 else {}
     if not here:
-        return []
+        best, by_leaf = best_container({c: x for c, x in scores.items() if step(c) in fallback}), rules.get(None, {})
+        return [(no, text) for no, c, leaf, text, link in lines if c == best and not link and leaf != "noscript" and by_leaf.get(signature(leaf), True) and WORD.search(text)]
     if len(here) > 1:
-        scores = page_scores(lines)
         here = {max(here, key=lambda c: (scores.get(c, 0), winners[c], c))}
     return [(no, text) for no, c, leaf, text, link in lines if c in here and not link and keep.get((c, leaf), False) and WORD.search(text)]
 

@@ -109,6 +109,19 @@ def test_consensus_paths(spark):
     assert pages.story_line_numbers(spark.createDataFrame([], "raw_path string, vendor string, body string")).count() == 0
 
 
+def test_rare_designs_of_a_large_host(spark):
+    """A design of 3 % of a host's pages and a page of a design of its own keep their stories."""
+    rng = random.Random(9)
+    stories = [[f"Head {i}", *(" ".join(rng.choice("alpha beta gamma delta eps".split()) + str(rng.randrange(99)) for _ in range(12)) + "." for _ in range(2))] for i in range(400)]
+    rare = lambda i: "press" if i % 33 == 5 else "single" if i == 7 else ""
+    rows = [(f"p{i}", "V", page(s, "") if not rare(i) else page(s, rare(i)).replace("<div", "<section").replace("</div", "</section")) for i, s in enumerate(stories)]
+    rows.append(("bare", "V", page(["x"], "").replace("<h1>x</h1>\n<span>Print it</span>\n", "")))  # furniture alone
+    got = pages.extract_stories(spark.createDataFrame(rows, "raw_path string, vendor string, body string")).toPandas()
+    assert "bare" not in set(got.raw_path)
+    for i, s in enumerate(stories):
+        assert got[got.raw_path == f"p{i}"].sort_values("line_no").text.tolist() in ([s] if rare(i) != "single" else [s, [s[0], "Print it", *s[1:]]])
+
+
 def test_reader_page_and_notice():
     body = "Title: T\n\n*   [Menu](https://x/m)\n\n# T\n\nShare\nA story line.\n\n-   one\n-   two\n> Quote.\n\nRelated\n[Other](https://x/o)\nImprint"
     assert pages.reader_story(body) == [(5, "T"), (8, "A story line."), (10, "one"), (11, "two"), (12, "Quote.")]
