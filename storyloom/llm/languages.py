@@ -5,8 +5,9 @@ sharing their mean rank, and the language with the least out-of-place distance i
 bounded sample of the rows that carry a readable label; wrong labels are outvoted, and a second round drops sample texts and
 passages that the first round's profiles contradict. Every passage of every document is classified.
 
-Null and empty texts have no passages. A passage of fewer than MIN_WORDS words, or without a clear winner, has no language of
-its own; it takes that of its document where it has one.
+A passage of fewer than MIN_WORDS words, or without a clear winner, has no language of its own. In the languages of a document,
+short sentences are judged together with neighbours that look alike, and what is still unclear as one text. Every document has
+a main language, if need be the most likely one with its low confidence; it is null only for texts without a known n-gram.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ SAMPLE, PROFILE, LONGEST = 1500, 3000, 5
 MIN_WORDS = 4
 #: Least relative distance between the best and the second language of a passage.
 CLEAR = 0.08
+#: The same where a sentence of fewer than MIN_WORDS words, but so many at least, has no like neighbour.
+SHORT_CLEAR, SHORT_WORDS = 0.25, 2
 WORD = re.compile(r"[^\W\d_]+")
+#: A sentence: closed by punctuation.
+SENTENCE = re.compile(r"[.!?…][\"”“»’)\]]*$")
 #: A passage ends at a blank line or after closing punctuation followed by white space; single line breaks may be wraps.
 SPLIT = re.compile(r"\s*\n\s*\n\s*|(?<=[.!?…])[\"”“»’)\]]*\s+")
 HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
@@ -86,23 +91,89 @@ class Profiles:
             got = self.words[word] = np.array([self.ids[g] for g in word_grams(word) if g in self.ids], dtype=np.int32)
         return got
 
-    def classify(self, passage: str) -> tuple[str | None, float]:
-        """(language, confidence): how far the best language's distance lies below the second's, relative to it."""
-        words = telling_words(passage)
-        if len(words) < MIN_WORDS or len(self.languages) < 2:
-            return None, 0.0
+    def distances(self, words: list[str]) -> np.ndarray | None:
+        """Out-of-place distance of these words to every language."""
+        if not words or len(self.languages) < 2:
+            return None
         counts = np.bincount(np.concatenate([self.word_ids(w) for w in words]))
         used = np.flatnonzero(counts)
         if not len(used):
-            return None, 0.0
+            return None
         freq = counts[used]
         per = np.bincount(freq)
         above = len(freq) - np.cumsum(per)  # n-grams more frequent
         mean_rank = above + (per - 1) / 2
-        distance = np.abs(mean_rank[freq][:, None] - self.ranks[used]).sum(axis=0)
+        return np.abs(mean_rank[freq][:, None] - self.ranks[used]).sum(axis=0)
+
+    def verdict(self, distance: np.ndarray | None) -> tuple[str | None, float]:
+        """(language, confidence): how far the best language's distance lies below the second's, relative to it."""
+        if distance is None:
+            return None, 0.0
         first, second = np.partition(distance, 1)[:2]
-        confidence = float((second - first) / second) if second else 0.0
-        return self.languages[int(distance.argmin())], confidence
+        return self.languages[int(distance.argmin())], float((second - first) / second) if second else 0.0
+
+    def classify(self, passage: str) -> tuple[str | None, float]:
+        words = telling_words(passage)
+        return (None, 0.0) if len(words) < MIN_WORDS else self.verdict(self.distances(words))
+
+
+def text_languages(known: Profiles, text: str | None, label: str | None) -> list[tuple[str | None, float, float, bool, bool]]:
+    """(language, share of words, confidence, main, not what the label means) of a text, at least one of them.
+
+    Where nothing in the text is clear, its most likely language stands against a label that lies clearly further off."""
+    words: dict[str, int] = defaultdict(int)
+    trust: dict[str, float] = defaultdict(float)
+
+    def add(lang: str, confidence: float, n: int) -> None:
+        words[lang] += n
+        trust[lang] += confidence * n
+
+    parts = passages(text)
+    unclear: list[str] = []
+    runs: list[tuple[str, list[str]]] = []  # short sentences in a row that look alike
+    open_ = False
+    for p in parts:
+        lang, confidence = known.classify(p)
+        if lang and confidence >= CLEAR:
+            add(lang, confidence, len(p.split()))
+            open_ = False
+            continue
+        bare = WORD.findall(NAME.sub(" ", p).lower())
+        if lang or not SENTENCE.search(p):
+            unclear.append(p)
+            open_ = False
+        elif bare:  # else a name, which says nothing
+            like = known.verdict(known.distances(bare))[0]
+            if like is None:
+                continue
+            if open_ and runs[-1][0] == like:
+                runs[-1][1].append(p)
+            else:
+                runs.append((like, [p]))
+            open_ = True
+    for _, run in runs:
+        bare = [w for p in run for w in WORD.findall(NAME.sub(" ", p).lower())]
+        lang, confidence = known.verdict(known.distances(bare))
+        if len(bare) >= SHORT_WORDS and confidence >= (CLEAR if len(bare) >= MIN_WORDS else SHORT_CLEAR):
+            add(lang, confidence, sum(len(p.split()) for p in run))
+        else:
+            unclear += run
+    pooled = [w for p in unclear for w in telling_words(p)]
+    distance = known.distances(pooled)
+    lang, confidence = known.verdict(distance)
+    sentence = any(SENTENCE.search(p) or len(telling_words(p)) >= MIN_WORDS for p in unclear)
+    if lang and confidence >= CLEAR and sentence and len(pooled) >= MIN_WORDS:
+        add(lang, confidence, sum(len(p.split()) for p in unclear))
+    if words:
+        total, main = sum(words.values()), max(words, key=lambda x: (words[x], x))
+        return [(x, n / total, trust[x] / n, x == main, x != label) for x, n in words.items()]
+    if distance is None:
+        distance = known.distances([w for p in parts for w in WORD.findall(p.lower())])
+        lang, confidence = known.verdict(distance)
+    if lang is None:
+        return [(None, 1.0, 0.0, True, False)]
+    off = 1.0 if label not in known.languages else 1 - float(distance.min() / max(distance[known.languages.index(label)], 1e-9))
+    return [(lang, 1.0, confidence, True, sentence and lang != label and off >= CLEAR)]
 
 
 def confirmed(parts: list[str], code: str, judge: Profiles | None) -> list[str]:
@@ -183,36 +254,27 @@ def foreign_passages(documents: DataFrame, profiles: Profiles | None = None) ->
 
 
 def document_languages(documents: DataFrame, profiles: Profiles | None = None) -> DataFrame:
-    """doc_id, labelled (code or null), lang, share of words, confidence (mean), is_main: the languages of each document.
+    """doc_id, labelled (code or null), lang, share of words, confidence (mean), is_main: the languages of each document."""
+    return judged_documents(documents, profiles).drop("against")
+
 
-    A language counts where at least one passage is clearly in it. Passages of one document are judged together, so nothing
-    is shuffled."""
+def judged_documents(documents: DataFrame, profiles: Profiles | None = None) -> DataFrame:
+    """The columns of document_languages and against: whether the label doesn't mean the language.
+
+    Passages of one document are judged together, so nothing is shuffled."""
     profiles = profiles or learn(documents)
     shared = documents.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for pdf in batches:
-            rows = []
-            for doc, code, text in zip(pdf["doc_id"], pdf["code"], pdf["text"]):
-                words: dict[str, int] = defaultdict(int)
-                trust: dict[str, float] = defaultdict(float)
-                for p in passages(text):
-                    lang, confidence = known.classify(p)
-                    if lang and confidence >= CLEAR:
-                        n = len(p.split())
-                        words[lang] += n
-                        trust[lang] += confidence * n
-                total = sum(words.values())
-                main = max(words, key=lambda x: (words[x], x)) if words else None
-                rows += [(doc, code, lang, n / total, trust[lang] / n, lang == main) for lang, n in words.items()]
-            yield pd.DataFrame(rows, columns=["doc_id", "labelled", "lang", "share", "confidence", "is_main"])
+            rows = [(doc, code, *x) for doc, code, text in zip(pdf["doc_id"], pdf["code"], pdf["text"]) for x in text_languages(known, text, code)]
+            yield pd.DataFrame(rows, columns=["doc_id", "labelled", "lang", "share", "confidence", "is_main", "against"])
 
     rows = spread(documents.select("doc_id", label_language(F.col("lang")).alias("code"), "text"))
-    return rows.mapInPandas(run, "doc_id bigint, labelled string, lang string, share double, confidence double, is_main boolean")
+    return rows.mapInPandas(run, "doc_id bigint, labelled string, lang string, share double, confidence double, is_main boolean, against boolean")
 
 
 def wrong_labels(documents: DataFrame) -> DataFrame:
     """The columns of p10_found: doc_id, lang of languages in a document that its label does not mean."""
-    found = document_languages(documents)
-    return found.where(F.col("labelled").isNull() | (F.col("labelled") != F.col("lang"))).select("doc_id", "lang")
+    return judged_documents(documents).where("against").select("doc_id", "lang")

@@ -372,3 +372,16 @@ def test_language_edges(spark, sf):
     rows = docs.unionByName(extra).withColumn("doc_id", F.monotonically_increasing_id()).withColumn("language", F.lit("clash"))
     assert languages.wrong_labels(rows).select("doc_id").count() >= 0
     assert languages.wrong_labels(rows.limit(0)).count() == 0
+
+
+def test_unclear_documents_have_a_language(spark, sf):
+    """Every document has one main language; short sentences count together with like neighbours."""
+    docs = spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    known = languages.learn(docs)
+    english = "The team moved all of its files to the new store and saved many hours each week."
+    rows = [(1, "Das ist gut. Wir sind zufrieden.", "fr"), (2, english + " Das ist gut. Wir sind zufrieden.", "en"), (3, "", "en"), (4, None, None), (5, "12 34", "de"), (6, english, "en"), (7, "We use it.", "en"), (8, "the store", None)]
+    out = languages.document_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), known).toPandas()
+    assert out[out.is_main].doc_id.tolist() == [1, 2, 3, 4, 5, 6, 7, 8] and (out.confidence >= 0).all()
+    got = {(r.doc_id, r.lang) for r in out.itertuples()}
+    assert {(1, "de"), (2, "de"), (2, "en"), (6, "en"), (7, "en"), (8, "en"), (3, None)} <= got
+    assert [x[0] for x in languages.text_languages(known, english + " Gulir Notuda Hotels. Vepepri Mesh.", "en")] == ["en"]
