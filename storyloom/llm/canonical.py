@@ -2,11 +2,12 @@
 
 Distinct values only: normalise, retrieve candidates that share character n-grams through an inverted index over the list's
 spellings, score by cosine of TF-IDF weighted n-grams, accept the best entry above a threshold and a margin over the second.
-The best candidates are checked by edit distance with transpositions, which swapped letters disturb less than n-grams.
+All spellings that may come close enough are checked by edit distance with transpositions, which swapped letters disturb less
+than n-grams; a count of letters in common leaves out only those that can't.
 Abbreviations written with a full stop are completed from the words of each candidate before it is scored.
 
-Null and blank values are no values. Ties go to no entry. A list longer than BLOCK spellings is worked off in blocks, whose
-best candidates are then compared.
+Null and blank values are no values. Ties go to no entry. A list longer than BLOCK spellings is worked off in blocks with
+the n-gram counts of the whole list, whose best candidates are then compared.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from .aliases import FIELDS, NONE, rows
 
 THRESHOLD, MARGIN = 0.58, 0.03
-#: Cosine above which a candidate is checked by edit distance, and so many of them.
-CHECKED, CHECKS = 0.12, 16
+#: An edit distance scores EDITED at most; scores below THRESHOLD - MARGIN decide nothing.
+EDITED = 0.98
 BLOCK = 50_000
 #: Words that join or frame a value without naming it (fixed values).
 JOINING = frozenset("and und et y e of de des du la le les der die das für for the in & + a".split())
@@ -66,23 +68,25 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def gram_bag(words: list[str]) -> dict[str, int]:
+    return Counter(g for w in words for g in grams(w))
+
+
 class SpellingIndex:
     """Inverted index n-gram -> spellings of one field's reference list."""
 
-    def __init__(self, spellings: list[tuple[str, str]]):
+    def __init__(self, spellings: list[tuple[str, str]], counts: tuple[int, dict[str, int]] | None = None):
+        """counts: spellings in all and per n-gram where these are a part of a longer list."""
         self.spellings = [(entry, [w.rstrip(".") for w in tokens(text)]) for entry, text in spellings]
-        n = len(self.spellings)
-        df: dict[str, int] = defaultdict(int)
-        bags = []
-        for _, words in self.spellings:
-            bag: dict[str, int] = defaultdict(int)
-            for w in words:
-                for g in grams(w):
-                    bag[g] += 1
-            bags.append(bag)
-            for g in bag:
-                df[g] += 1
-        self.idf = {g: math.log((1 + n) / (1 + k)) + 1 for g, k in df.items()}
+        bags = [gram_bag(words) for _, words in self.spellings]
+        n, df = counts or (len(bags), Counter(g for bag in bags for g in bag))
+        forms = sorted({(" ".join(ws), i) for i, (_, words) in enumerate(self.spellings) for ws in (words, words[::-1])})
+        self.forms = [f for f, _ in forms]
+        self.form_of = [i for _, i in forms]
+        self.letters = {c: k for k, c in enumerate(sorted({c for f in self.forms for c in f}))}
+        self.sizes = np.array([len(f) for f in self.forms], dtype=np.int32)
+        self.bags = np.array([self.letter_bag(f) for f in self.forms], dtype=np.int16).reshape(len(forms), len(self.letters))
+        self.idf = {g: math.log((1 + n) / (1 + k)) + 1 for g, k in df.items()}  # of the whole list
         self.unseen = math.log(1 + n) + 1
         self.postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for i, bag in enumerate(bags):
@@ -95,6 +99,21 @@ class SpellingIndex:
             self.exact[tuple(sorted(words))].add(entry)
         self.exact = dict(self.exact)
 
+    def letter_bag(self, text: str) -> np.ndarray:
+        bag = np.zeros(len(self.letters), dtype=np.int16)
+        for c in text:
+            if c in self.letters:
+                bag[self.letters[c]] += 1
+        return bag
+
+    def close_forms(self, joined: str) -> list[int]:
+        """Written forms whose edit score may reach THRESHOLD - MARGIN: letters that only one side has need an edit each."""
+        n = len(joined)
+        size = np.maximum(self.sizes, n)
+        both = np.minimum(self.bags, self.letter_bag(joined)).sum(axis=1) if n <= 2 * self.sizes.max(initial=0) else 0
+        allowed = (size > 3) & (np.abs(self.sizes - n) <= 0.4 * size)
+        return np.flatnonzero(allowed & (EDITED * (1 - (size - both) / size) >= THRESHOLD - MARGIN - 1e-9)).tolist()
+
     def vector(self, words: list[str]) -> dict[str, float]:
         bag: dict[str, float] = defaultdict(float)
         for w in words:
@@ -110,6 +129,9 @@ class SpellingIndex:
                 out[i] += x * y
         return out
 
+    def is_exact(self, value: str) -> bool:
+        return tuple(sorted(w.rstrip(".") for w in tokens(value))) in self.exact
+
     def best(self, value: str) -> list[tuple[str, float]]:
         """The two best entries of a value with their scores."""
         words = tokens(value)
@@ -124,13 +146,9 @@ class SpellingIndex:
                 if score > entries[entry]:
                     entries[entry] = score
             joined = " ".join(plain)
-            near = sorted((i for i, x in found.items() if x >= CHECKED), key=lambda i: (-found[i], i))[:CHECKS]
-            for i in near:
-                entry, target = self.spellings[i]
-                for other in {" ".join(target), " ".join(reversed(target))}:
-                    size = max(len(joined), len(other))
-                    if size > 3 and abs(len(joined) - len(other)) <= 0.4 * size:
-                        entries[entry] = max(entries[entry], 0.98 * (1 - edit_distance(joined, other) / size))
+            for k in self.close_forms(joined):
+                entry, other = self.spellings[self.form_of[k]][0], self.forms[k]
+                entries[entry] = max(entries[entry], EDITED * (1 - edit_distance(joined, other) / max(len(joined), len(other))))
             short = [w for w in words if w.endswith(".")]
             if short:
                 for i in found:
@@ -159,22 +177,35 @@ def match_values(values: DataFrame, spellings: DataFrame) -> DataFrame:
     spark = values.sparkSession
     per_field = spellings.groupBy("field").count().collect()  # one row per field
     blocks = max(1, math.ceil(max((r["count"] for r in per_field), default=0) / BLOCK))
-    parts = []
-    for k in range(blocks):
+
+    def block(k: int) -> dict[str, list[tuple[str, str]]]:
         mine = spellings if blocks == 1 else spellings.where(F.pmod(F.xxhash64("spelling"), F.lit(blocks)) == k)
         lists: dict[str, list[tuple[str, str]]] = defaultdict(list)
         for r in mine.collect():  # at most about BLOCK rows a field
             lists[r["field"]].append((r["entry"], r["spelling"]))
-        shared = spark.sparkContext.broadcast({f: sorted(x) for f, x in lists.items()})
+        return {f: sorted(x) for f, x in lists.items()}
+
+    counts: dict[str, tuple[int, Counter]] = {}
+    for k in range(blocks if blocks > 1 else 0):
+        for field, rows_ in block(k).items():
+            n, df = counts.get(field, (0, Counter()))
+            for _, text in rows_:
+                df.update(gram_bag([w.rstrip(".") for w in tokens(text)]).keys())
+            counts[field] = (n + len(rows_), df)
+    parts = []
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast((block(k), counts))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            lists, whole = shared.value
             indexes: dict[str, SpellingIndex] = {}
             for pdf in batches:
                 out = []
                 for field, typed in zip(pdf["field"], pdf["typed"]):
                     if field not in indexes:
-                        indexes[field] = SpellingIndex(shared.value.get(field, []))
-                    out += [(field, typed, entry, score) for entry, score in indexes[field].best(typed)] or [(field, typed, NONE, 0.0)]
+                        indexes[field] = SpellingIndex(lists.get(field, []), whole.get(field))
+                    exact = indexes[field].is_exact(typed)  # above all others, of other blocks too
+                    out += [(field, typed, entry, score + exact) for entry, score in indexes[field].best(typed)] or [(field, typed, NONE, 0.0)]
                 yield pd.DataFrame(out, columns=["field", "typed", "entry", "score"])
 
         parts.append(values.mapInPandas(run, "field string, typed string, entry string, score double"))

@@ -60,6 +60,31 @@ def test_candidates_equal_brute_force(industries):
         assert got.keys() == brute.keys() and all(abs(got[i] - brute[i]) < 1e-9 for i in got)
 
 
+def test_swapped_letters_among_many_spellings(spark, monkeypatch):
+    """The right spelling has the lowest cosine of many; the length of the list and its blocks change nothing."""
+    rng = random.Random(8)
+    others = sorted({"b" + "".join(rng.choice("aeiou") for _ in range(3)) + "k" for _ in range(60)} | {f"bna{c}" for c in "acdefghijlmop"} | {f"{c}nak" for c in "acdefghijlmop"})
+    lists = [("Banking", "bank"), *((f"Other {i}", o) for i, o in enumerate(others))]
+    wanted = canonical.SpellingIndex(lists)
+    brute = {e: canonical.EDITED * (1 - canonical.edit_distance("bnakers", x) / max(7, len(x))) for e, x in [("Banking", "bankers"), *lists[1:]]}
+    got = dict(canonical.SpellingIndex([("Banking", "bankers"), *lists[1:]]).best("bnakers"))
+    assert got["Banking"] >= brute["Banking"] > canonical.THRESHOLD
+    assert all(k in wanted.close_forms("bnak") for k, f in enumerate(wanted.forms) if canonical.EDITED * (1 - canonical.edit_distance("bnak", f) / max(4, len(f))) >= canonical.THRESHOLD - canonical.MARGIN and abs(len(f) - 4) <= 0.4 * max(4, len(f)))
+    assert dict(wanted.best("bnak"))  # some entry always comes out
+    values = spark.createDataFrame([("industry", v) for v in ("bnakers", "bank", "baook", "qqqqq")], "field string, typed string")
+    spellings = spark.createDataFrame([("industry", *x) for x in [("Banking", "bankers"), *lists]], "field string, entry string, spelling string")
+    whole = set(canonical.match_values(values, spellings).collect())
+    monkeypatch.setattr(canonical, "BLOCK", 20)
+    assert set(canonical.match_values(values, spellings).collect()) == whole
+    assert ("industry", "bank", "Banking") in {tuple(r) for r in whole}
+
+
+def test_swap_below_sixteen_cosines():
+    """bnak: seventeen spellings share more n-grams with it than bank does, each further off by edit distance."""
+    near = [("Far", f"bnbnak{c}nak{d}nak") for c in "cdefgh" for d in "cde"]
+    assert dict(canonical.SpellingIndex([("Banking", "bank"), *near]).best("bnak"))["Banking"] == pytest.approx(0.98 * 0.75)
+
+
 def test_typed_values_edges(spark, sf):
     rows = [("a", None, "  ", None, None, None, None, None), ("b", "Telco", "Nordics", None, None, None, None, [("n", "r", None), ("n", "r", "zzz zzz"), None]), ("c", "Telco", "x" * 5000, None, None, None, None, [])]
     taxonomy = spark.read.parquet(f"{sf}/taxonomy.parquet")
