@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
 
 #: Labelled exemplars (fixed values, extendable by the caller): kind, then the text. Numbers and codes are left out.
@@ -130,7 +131,7 @@ class Index:
         return any(a in lowered for a in self.anchors[kinds])
 
     def find(self, words: list[str], kinds: frozenset[str]) -> list[tuple[int, int, int]]:
-        """(exemplar, from word, to word) of every exemplar of these kinds contained in a window."""
+        """(exemplar, from word, to word) of the windows that contain an exemplar of these kinds, the best first, none overlapping."""
         shared: dict[int, float] = defaultdict(float)
         for w in set(words):
             for i in self.postings.get(w, ()):
@@ -141,29 +142,34 @@ class Index:
                 continue
             size = len(self.exemplars[i][1]) + max(2, len(self.exemplars[i][1]) // 5)
             mine = self.weights[i]
+            least = CONTAINED * self.totals[i]
             hits = [k for k, w in enumerate(words) if w in mine]
-            best = None
-            for start in hits:
+            sums = [0.0]  # a quick look: a window without even this much weight, repeats counted, can't hold enough
+            for k in hits:
+                sums.append(sums[-1] + mine[words[k]])
+            held = []
+            for n, start in enumerate(hits):
+                if sums[bisect_left(hits, start + size)] - sums[n] < least - 1e-9:
+                    continue
                 window = words[start : start + size]
                 end = start + max(k for k, w in enumerate(window) if w in mine) + 1
                 inside = sum(mine[w] for w in set(words[start:end]) if w in mine)
                 whole = sum(mine.get(w, self.idf.get(w, self.unseen)) for w in set(words[start:end]))
-                if inside >= CONTAINED * self.totals[i] and inside >= FOCUSED * whole and (best is None or inside > best[0]):
-                    best = (inside, start, end)
-            if best:
-                found.append((i, best[1], best[2]))
+                if inside >= least and inside >= FOCUSED * whole:
+                    held.append((-inside, start, end))
+            taken: set[int] = set()
+            for _, start, end in sorted(held):
+                if taken.isdisjoint(range(start, end)):
+                    taken.update(range(start, end))
+                    found.append((i, start, end))
         return found
 
 
 def is_notice_page(texts: list[str], index: Index) -> bool:
     """Whether error messages or calls for scripts stand in place of a story: they cover most words of these lines."""
-    if sum(map(len, texts)) > 1500 or not index.may_hold(" ".join(texts).lower().replace("’", "'"), MESSAGES):
+    if not index.may_hold(" ".join(texts).lower().replace("’", "'"), MESSAGES):
         return False
-    words: list[str] = []
-    for t in texts:
-        words += words_of(t)
-        if len(words) > 120:
-            return False  # no message covers half of so much text
+    words = [w for t in texts for w in words_of(t)]
     if not words:
         return False
     covered: set[int] = set()

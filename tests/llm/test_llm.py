@@ -252,6 +252,13 @@ def test_story_residue(text, kind):
     assert residue.story_residue([text], INDEX) == kind
 
 
+@pytest.mark.parametrize("times", [3, 40])
+def test_repeated_message_covers_page(times):
+    message = "Service unavailable. We are doing some work on the site and will be back shortly."
+    assert residue.is_notice_page([message] * times, INDEX)
+    assert not residue.is_notice_page([message, "The team moved its files to a new store and saved many hours each week."] + ["Then they trained the staff in every branch of the firm."] * times, INDEX)
+
+
 @pytest.mark.parametrize("error, status, hit", [("%s: %s", 0, True), ("URLError: <urlopen error [Errno -3] x>", 0, False), ("Sorry, you have been blocked. Reference 1", 200, True), ("Sorry, you have been blocked. Reference 1", 0, False), ("note: served after 2 retries", 200, False), ("", 200, False), (None, 0, False)])
 def test_error_residue(error, status, hit):
     assert residue.error_residue(error, status, INDEX) is hit
