@@ -329,10 +329,8 @@ def step(container: str) -> str:
     return container.rpartition("/")[2]
 
 
-def make_rules(stats: list) -> dict:
-    """host -> (story containers with their votes, (container, leaf) kept or not, steps a page may fall back to).
-
-    Under the host None: whether a leaf signature is kept where a page is read by its own best container."""
+def host_votes(stats: list) -> tuple[dict, dict, dict]:
+    """(host -> votes and leaves, host -> story containers with their votes, host -> steps a page may fall back to)."""
     by_host: dict = defaultdict(lambda: [defaultdict(lambda: [0, 0]), {}])
     for r in stats:
         if r["leaf"] == "":
@@ -346,7 +344,6 @@ def make_rules(stats: list) -> dict:
             by_host[r["host"]][1][(r["container"], r["leaf"])] = (r["n"], r["links"], r["digits"], r["tail"], bitmap)
     winners: dict = {}
     fallback: dict = {}
-    everywhere: dict = defaultdict(lambda: [0, 0, 0, 0, 0])
     for host, (votes, leaves) in by_host.items():
         total = sum(n for _, n in votes.values())
         won = {c: n for c, (held, n) in votes.items() if n and (n >= WIN_SHARE * total or (n >= ENOUGH_WINS and n >= OWN_SHARE * held))}
@@ -356,12 +353,28 @@ def make_rules(stats: list) -> dict:
             by_step[step(c)][0] += held
             by_step[step(c)][1] += n
         fallback[host] = {c for c, (held, n) in by_step.items() if n and n >= OWN_SHARE * held}
+    return by_host, winners, fallback
+
+
+def leaf_sums(by_host: dict, winners: dict, into: dict | None = None) -> dict:
+    """Leaf signature -> statistics over the story containers of all hosts, added to those of other hosts."""
+    everywhere: dict = defaultdict(lambda: [0, 0, 0, 0, 0]) if into is None else into
+    for host, (_, leaves) in by_host.items():
         for (container, leaf), v in leaves.items():
-            if container in won:
+            if container in winners[host]:
                 e = everywhere[signature(leaf)]
                 for i in range(4):
                     e[i] += v[i]
                 e[4] |= v[4]
+    return everywhere
+
+
+def make_rules(stats: list, whole: dict | None = None) -> dict:
+    """host -> (story containers with their votes, (container, leaf) kept or not, steps a page may fall back to).
+
+    whole: leaf_sums over all hosts, where these are a part of them. Under the host None: whether a leaf signature is kept where a page is read by its own best container."""
+    by_host, winners, fallback = host_votes(stats)
+    everywhere = leaf_sums(by_host, winners) if whole is None else whole
     rules: dict = {None: {leaf: kept(leaf, v, v) for leaf, v in everywhere.items()}}
     for host, (_, leaves) in by_host.items():
         keep = {(c, leaf): kept(signature(leaf), v, everywhere[signature(leaf)]) for (c, leaf), v in leaves.items() if c in winners[host]}
@@ -424,10 +437,14 @@ def apply_rules(pages: DataFrame, work, ddl: str) -> DataFrame:
     index = residue.Index(residue.EXEMPLARS, counts)
     stats = stats.where(F.col("container") != WORDS)
     blocks = max(1, math.ceil(stats.count() / MAX_RULES))
+    selected = [F.lit(True) if blocks == 1 else F.pmod(F.xxhash64("host"), F.lit(blocks)) == k for k in range(blocks)]
+    whole: dict | None = None
+    for mine in selected if blocks > 1 else ():
+        by_host, winners, _ = host_votes(stats.where(mine).collect())
+        whole = leaf_sums(by_host, winners, whole)
     parts = []
-    for k in range(blocks):
-        mine = F.lit(True) if blocks == 1 else F.pmod(F.xxhash64("host"), F.lit(blocks)) == k
-        shared = sc.broadcast((make_rules(stats.where(mine).collect()), index))
+    for mine in selected:
+        shared = sc.broadcast((make_rules(stats.where(mine).collect(), whole), index))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             rules, known = shared.value

@@ -147,6 +147,20 @@ def test_rare_designs_of_a_large_host(spark):
         assert got[got.raw_path == f"p{i}"].sort_values("line_no").text.tolist() in ([s] if rare(i) != "single" else [s, [s[0], "Print it", *s[1:]]])
 
 
+def test_blocks_of_hosts_change_nothing(spark, monkeypatch):
+    """Hosts of few lines share the statistics of all hosts, however many blocks there are."""
+    rng = random.Random(11)
+    rows = []
+    for h in range(12):
+        for i in range(2):
+            s = [f"Head {h} {i}", *(" ".join(rng.choice("alpha beta gamma delta eps".split()) + str(rng.randrange(99)) for _ in range(12)) + "." for _ in range(3))]
+            rows.append((f"p{h}-{i}", f"H{h}", page(s, "")))
+    df = spark.createDataFrame(rows, "raw_path string, vendor string, body string")
+    whole = {tuple(r) for r in pages.extract_stories(df).collect()}
+    monkeypatch.setattr(pages, "MAX_RULES", 20)
+    assert {tuple(r) for r in pages.extract_stories(df).collect()} == whole != set()
+
+
 def test_reader_page_and_notice():
     body = "Title: T\n\n*   [Menu](https://x/m)\n\n# T\n\nShare\nA story line.\n\n-   one\n-   two\n> Quote.\n\nRelated\n[Other](https://x/o)\nImprint"
     assert pages.reader_story(body) == [(5, "T"), (8, "A story line."), (10, "one"), (11, "two"), (12, "Quote.")]
