@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 TABLES = (
@@ -58,6 +59,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_share(*columns: str) -> Column:
+    """A number in [0, 1) from the hash of these columns, in steps of 2^-63: shares of any size can be drawn by it."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1) / F.lit(2.0**63)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan for work that costs far more than its bytes: shuffled only if its files give fewer tasks than there are cores."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
