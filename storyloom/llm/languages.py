@@ -14,14 +14,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, spread
+from ..session import hash_share, materialize, spread
 
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pt")
 #: Names under which labels mean a language (fixed values): codes of two and three letters and English names.
@@ -32,6 +32,8 @@ LABELS = {
 #: Rows per language that profiles are learned from, n-grams per profile, longest n-gram.
 SAMPLE, PROFILE, LONGEST = 1500, 3000, 5
 MIN_WORDS = 4
+#: Words ranked together and documents whose passages are ranked together, for speed; words whose n-grams are kept.
+AT_ONCE, DOCS_AT_ONCE, MOST_WORDS = 40_000, 500, 300_000
 #: Least relative distance between the best and the second language of a passage.
 CLEAR = 0.08
 #: The same where a sentence of fewer than MIN_WORDS words, but so many at least, has no like neighbour.
@@ -77,50 +79,103 @@ class Profiles:
         self.languages = [lang for lang in LANGUAGES if counts.get(lang)]
         tops = [[g for g, _ in sorted(counts[lang].items(), key=lambda x: (-x[1], x[0]))[:PROFILE]] for lang in self.languages]
         self.ids = {g: i for i, g in enumerate(sorted({g for top in tops for g in top}))}
-        self.ranks = np.full((len(self.ids), len(self.languages)), PROFILE, dtype=np.float64)
-        for j, top in enumerate(tops):
-            for r, g in enumerate(top):
-                self.ranks[self.ids[g], j] = r
-        self.words: dict[str, np.ndarray] = {}
-
-    def word_ids(self, word: str) -> np.ndarray:
-        got = self.words.get(word)
-        if got is None:
-            if len(self.words) > 300_000:
-                self.words.clear()
-            got = self.words[word] = np.array([self.ids[g] for g in word_grams(word) if g in self.ids], dtype=np.int32)
-        return got
+        self.ranks2 = np.full((len(self.languages), len(self.ids)), 2 * PROFILE, dtype=np.int32)  # twice the ranks: means of ranks are halves
+        for column, top in zip(self.ranks2, tops):
+            column[[self.ids[g] for g in top]] = 2 * np.arange(len(top))
+        self.forget()
+
+    def rows_of(self, words: list[str]) -> list[int]:
+        """Rows of the table of words; words seen for the first time are added with the ids of their known n-grams."""
+        rows = self.rows
+        try:
+            return [rows[w] for w in words]
+        except KeyError:
+            for w in words:
+                if w not in rows:
+                    rows[w] = len(rows)
+                    self.word_grams.append(np.array([self.ids[g] for g in word_grams(w) if g in self.ids], dtype=np.int32))
+            return [rows[w] for w in words]
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.word_grams: list[np.ndarray] = []
+        self.flat, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def grams_of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram ids of these words one after the other, how many of each)."""
+        if len(self.offsets) <= len(self.word_grams):
+            fresh = self.word_grams[len(self.offsets) - 1 :]
+            self.flat = np.concatenate([self.flat, *fresh])
+            self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in fresh])])
+        sizes = self.offsets[rows + 1] - self.offsets[rows]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.offsets[rows] - ends + sizes, sizes)
+        return self.flat[at], sizes
+
+    def many_distances(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """Out-of-place distances of each list of words to every language; None where no n-gram is known."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        if len(self.languages) < 2:
+            return out
+        if len(self.rows) > MOST_WORDS:
+            self.forget()
+        start = 0
+        while start < len(texts):  # as many lists at a time as their words stay within AT_ONCE
+            rows: list[int] = []
+            lengths: list[int] = []
+            while start + len(lengths) < len(texts) and (len(rows) < AT_ONCE or not lengths):
+                words = texts[start + len(lengths)]
+                rows += self.rows_of(words)
+                lengths.append(len(words))
+            ids, sizes = self.grams_of(np.array(rows, dtype=np.int64))
+            if len(ids):
+                owner = np.repeat(np.repeat(np.arange(len(lengths), dtype=np.int64), lengths), sizes)
+                for i, d in self._distances(owner, ids):
+                    out[start + i] = d
+            start += len(lengths)
+        return out
+
+    def _distances(self, owner: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(list, distances) for n-gram ids and the lists in which they stand, in order."""
+        n_ids = len(self.ids)
+        keys = owner * n_ids + ids
+        if int(owner[-1] + 1) * n_ids < 2**31:
+            keys = keys.astype(np.int32)  # sorts faster
+        keys.sort()
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        freq = np.diff(np.append(first, len(keys)))
+        owner, gram = np.divmod(keys[first], n_ids)
+        lists = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        sizes = np.diff(np.append(lists, len(owner)))
+        # per list and frequency: twice the mean rank, which is that of all n-grams more frequent and half of the equal ones
+        number = np.cumsum(np.bincount(freq) > 0)  # the frequencies that occur, numbered from 1
+        cell = np.repeat(np.arange(len(lists)) * number[-1] - 1, sizes) + number[freq]
+        equal = np.bincount(cell, minlength=len(lists) * number[-1]).reshape(len(lists), number[-1])
+        rank2 = (2 * (sizes[:, None] - np.cumsum(equal, axis=1)) + equal - 1).astype(np.int32).ravel()[cell]
+        sums = [np.add.reduceat(np.abs(rank2 - column[gram]), lists, dtype=np.int64) for column in self.ranks2]
+        yield from zip(owner[lists].tolist(), np.stack(sums, axis=1) / 2)
 
     def distances(self, words: list[str]) -> np.ndarray | None:
-        """Out-of-place distance of these words to every language."""
-        if not words or len(self.languages) < 2:
-            return None
-        counts = np.bincount(np.concatenate([self.word_ids(w) for w in words]))
-        used = np.flatnonzero(counts)
-        if not len(used):
-            return None
-        freq = counts[used]
-        per = np.bincount(freq)
-        above = len(freq) - np.cumsum(per)  # n-grams more frequent
-        mean_rank = above + (per - 1) / 2
-        return np.abs(mean_rank[freq][:, None] - self.ranks[used]).sum(axis=0)
+        return self.many_distances([words])[0]
 
     def verdict(self, distance: np.ndarray | None) -> tuple[str | None, float]:
         """(language, confidence): how far the best language's distance lies below the second's, relative to it."""
         if distance is None:
             return None, 0.0
-        first, second = np.partition(distance, 1)[:2]
-        return self.languages[int(distance.argmin())], float((second - first) / second) if second else 0.0
+        first, second = sorted(distance.tolist())[:2]
+        return self.languages[int(distance.argmin())], (second - first) / second if second else 0.0
 
     def classify(self, passage: str) -> tuple[str | None, float]:
-        words = telling_words(passage)
-        return (None, 0.0) if len(words) < MIN_WORDS else self.verdict(self.distances(words))
+        return self.classified([passage])[0]
 
+    def classified(self, parts: list[str]) -> list[tuple[str | None, float]]:
+        """(language, confidence) of passages; none for those of fewer than MIN_WORDS words."""
+        words = [telling_words(p) for p in parts]
+        return [self.verdict(d) for d in self.many_distances([w if len(w) >= MIN_WORDS else [] for w in words])]
 
-def text_languages(known: Profiles, text: str | None, label: str | None) -> list[tuple[str | None, float, float, bool, bool]]:
-    """(language, share of words, confidence, main, not what the label means) of a text, at least one of them.
 
-    Where nothing in the text is clear, its most likely language stands against a label that lies clearly further off."""
+def languages_asked(known: Profiles, text: str | None, label: str | None) -> Generator[list[list[str]], list, list]:
+    """text_languages as a coroutine: it yields lists of words and is sent their distances, so that many texts share one ranking."""
     words: dict[str, int] = defaultdict(int)
     trust: dict[str, float] = defaultdict(float)
 
@@ -129,46 +184,48 @@ def text_languages(known: Profiles, text: str | None, label: str | None) -> list
         trust[lang] += confidence * n
 
     parts = passages(text)
-    unclear: list[str] = []
-    runs: list[tuple[str, list[str]]] = []  # short sentences in a row that look alike
+    telling = [telling_words(p) for p in parts]
+    long = [i for i, w in enumerate(telling) if len(w) >= MIN_WORDS]
+    got = yield [telling[i] for i in long]
+    own = {i: known.verdict(d) for i, d in zip(long, got)}
+    bare = {i: WORD.findall(NAME.sub(" ", parts[i]).lower()) for i in range(len(parts)) if i not in own and SENTENCE.search(parts[i])}
+    named = [i for i, w in bare.items() if w]  # others are names, which say nothing
+    likes = dict(zip(named, (yield [bare[i] for i in named]))) if named else {}
+    unclear: list[int] = []
+    runs: list[tuple[str, list[int]]] = []  # short sentences in a row that look alike
     open_ = False
-    for p in parts:
-        lang, confidence = known.classify(p)
+    for i, p in enumerate(parts):
+        lang, confidence = own.get(i, (None, 0.0))
         if lang and confidence >= CLEAR:
             add(lang, confidence, len(p.split()))
             open_ = False
-            continue
-        bare = WORD.findall(NAME.sub(" ", p).lower())
-        if lang or not SENTENCE.search(p):
-            unclear.append(p)
+        elif lang or i not in bare:
+            unclear.append(i)
             open_ = False
-        elif bare:  # else a name, which says nothing
-            like = known.verdict(known.distances(bare))[0]
-            if like is None:
-                continue
+        elif (like := known.verdict(likes.get(i))[0]) is not None:
             if open_ and runs[-1][0] == like:
-                runs[-1][1].append(p)
+                runs[-1][1].append(i)
             else:
-                runs.append((like, [p]))
+                runs.append((like, [i]))
             open_ = True
-    for _, run in runs:
-        bare = [w for p in run for w in WORD.findall(NAME.sub(" ", p).lower())]
-        lang, confidence = known.verdict(known.distances(bare))
-        if len(bare) >= SHORT_WORDS and confidence >= (CLEAR if len(bare) >= MIN_WORDS else SHORT_CLEAR):
-            add(lang, confidence, sum(len(p.split()) for p in run))
+    pools = [[w for i in run for w in bare[i]] for _, run in runs]
+    for (_, run), pool, distance in zip(runs, pools, (yield pools) if pools else ()):
+        lang, confidence = known.verdict(distance)
+        if len(pool) >= SHORT_WORDS and confidence >= (CLEAR if len(pool) >= MIN_WORDS else SHORT_CLEAR):
+            add(lang, confidence, sum(len(parts[i].split()) for i in run))
         else:
             unclear += run
-    pooled = [w for p in unclear for w in telling_words(p)]
-    distance = known.distances(pooled)
+    pooled = [w for i in unclear for w in telling[i]]
+    distance = (yield [pooled])[0] if pooled else None
     lang, confidence = known.verdict(distance)
-    sentence = any(SENTENCE.search(p) or len(telling_words(p)) >= MIN_WORDS for p in unclear)
+    sentence = any(SENTENCE.search(parts[i]) or len(telling[i]) >= MIN_WORDS for i in unclear)
     if lang and confidence >= CLEAR and sentence and len(pooled) >= MIN_WORDS:
-        add(lang, confidence, sum(len(p.split()) for p in unclear))
+        add(lang, confidence, sum(len(parts[i].split()) for i in unclear))
     if words:
         total, main = sum(words.values()), max(words, key=lambda x: (words[x], x))
         return [(x, n / total, trust[x] / n, x == main, x != label) for x, n in words.items()]
     if distance is None:
-        distance = known.distances([w for p in parts for w in WORD.findall(p.lower())])
+        distance = (yield [[w for p in parts for w in WORD.findall(p.lower())]])[0]
         lang, confidence = known.verdict(distance)
     if lang is None:
         return [(None, 1.0, 0.0, True, False)]
@@ -176,12 +233,40 @@ def text_languages(known: Profiles, text: str | None, label: str | None) -> list
     return [(lang, 1.0, confidence, True, sentence and lang != label and off >= CLEAR)]
 
 
-def confirmed(parts: list[str], code: str, judge: Profiles | None) -> list[str]:
-    """The passages that the judge gives to the labelled language, of a text that it gives to it for the most part."""
+def texts_languages(known: Profiles, texts: list[tuple[str | None, str | None]]) -> list[list[tuple[str | None, float, float, bool, bool]]]:
+    """text_languages of many (text, label), their passages ranked together."""
+    out: list = [None] * len(texts)
+    asking = []
+    for i, (text, label) in enumerate(texts):
+        judge = languages_asked(known, text, label)
+        asking.append((i, judge, next(judge)))
+    while asking:
+        answers = iter(known.many_distances([w for _, _, lists in asking for w in lists]))
+        still = []
+        for i, judge, lists in asking:
+            try:
+                still.append((i, judge, judge.send([next(answers) for _ in lists])))
+            except StopIteration as done:
+                out[i] = done.value
+        asking = still
+    return out
+
+
+def text_languages(known: Profiles, text: str | None, label: str | None) -> list[tuple[str | None, float, float, bool, bool]]:
+    """(language, share of words, confidence, main, not what the label means) of a text, at least one of them.
+
+    Where nothing in the text is clear, its most likely language stands against a label that lies clearly further off."""
+    return texts_languages(known, [(text, label)])[0]
+
+
+def confirmed(texts: list[str], codes: list[str], judge: Profiles | None) -> list[list[str]]:
+    """Of each text the passages that the judge gives to its labelled language, if that is most of them; without a judge all."""
+    parts = [passages(text) for text in texts]
     if judge is None:
         return parts
-    agree = [p for p in parts if judge.classify(p)[0] == code]
-    return agree if 2 * len(agree) > len(parts) else []
+    judged = iter(judge.classified([p for ps in parts for p in ps]))
+    agree = [[p for p in ps if next(judged)[0] == code] for ps, code in zip(parts, codes)]
+    return [kept if 2 * len(kept) > len(ps) else [] for ps, kept in zip(parts, agree)]
 
 
 def sample_grams(sample: DataFrame, judge: Profiles | None = None) -> dict[str, Counter]:
@@ -191,8 +276,10 @@ def sample_grams(sample: DataFrame, judge: Profiles | None = None) -> dict[str,
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, Counter] = defaultdict(Counter)
         for pdf in batches:
-            for code, text in zip(pdf["code"], pdf["text"]):
-                words[code].update(w for p in confirmed(passages(text), code, shared.value) for w in telling_words(p))
+            for k in range(0, len(pdf), DOCS_AT_ONCE):
+                part = pdf.iloc[k : k + DOCS_AT_ONCE]
+                for code, kept in zip(part["code"], confirmed(list(part["text"]), list(part["code"]), shared.value)):
+                    words[code].update(w for p in kept for w in telling_words(p))
         rows = []
         for code, counter in words.items():
             grams: Counter = Counter()
@@ -212,13 +299,14 @@ def sample_grams(sample: DataFrame, judge: Profiles | None = None) -> dict[str,
 
 
 def learn(documents: DataFrame, sample: int = SAMPLE) -> Profiles:
-    """Profiles from about `sample` labelled rows per language, chosen by hash of the text: the bound holds at any size."""
-    labelled = documents.select("text", label_language(F.col("lang")).alias("code")).where("code is not null and text is not null")
+    """Profiles from about `sample` labelled rows per language, chosen by hash of the document: copies of a text are chosen one
+    by one, so the bound holds (up to the spread of such a draw) at any size and for any repetition."""
+    labelled = documents.select("doc_id", "text", label_language(F.col("lang")).alias("code")).where("code is not null and text is not null")
     sizes = {r["code"]: r["n"] for r in labelled.groupBy("code").agg(F.count("*").alias("n")).collect()}  # seven rows
     share = F.lit(0.0)
     for code, n in sizes.items():
         share = F.when(F.col("code") == code, F.lit(min(1.0, sample / n))).otherwise(share)
-    picked = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share * 1_000_003)
+    picked = labelled.where(hash_share("doc_id") < share).select("text", "code")
     picked = materialize(picked.repartition(8), "language-sample")
     first = Profiles(sample_grams(picked))
     return Profiles(sample_grams(picked, first))
@@ -235,11 +323,9 @@ def document_passages(documents: DataFrame, profiles: Profiles | None = None) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                for i, p in enumerate(passages(text), 1):
-                    lang, confidence = known.classify(p)
-                    rows.append((doc, i, lang, confidence, len(p.split())))
+            parts = [(doc, i, p) for doc, text in zip(pdf["doc_id"], pdf["text"]) for i, p in enumerate(passages(text), 1)]
+            judged = known.classified([p for _, _, p in parts])
+            rows = [(doc, i, *found, len(p.split())) for (doc, i, p), found in zip(parts, judged)]
             yield pd.DataFrame(rows, columns=["doc_id", "passage", "language", "confidence", "words"])
 
     return spread(documents.select("doc_id", "text")).mapInPandas(run, SPANS_DDL)
@@ -268,7 +354,11 @@ def judged_documents(documents: DataFrame, profiles: Profiles | None = None) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for pdf in batches:
-            rows = [(doc, code, *x) for doc, code, text in zip(pdf["doc_id"], pdf["code"], pdf["text"]) for x in text_languages(known, text, code)]
+            rows = []
+            for k in range(0, len(pdf), DOCS_AT_ONCE):
+                part = pdf.iloc[k : k + DOCS_AT_ONCE]
+                judged = texts_languages(known, list(zip(part["text"], part["code"])))
+                rows += [(doc, code, *x) for doc, code, found in zip(part["doc_id"], part["code"], judged) for x in found]
             yield pd.DataFrame(rows, columns=["doc_id", "labelled", "lang", "share", "confidence", "is_main", "against"])
 
     rows = spread(documents.select("doc_id", label_language(F.col("lang")).alias("code"), "text"))
