@@ -1,10 +1,14 @@
 """Processing only new or changed input files.
 
 A manifest names every input file already processed, with size and checksum. A run lists the inputs, anti-joins the listing
-with the manifest, writes the batch's output under its own identifier (a batch run again replaces its output), and only then
-commits the manifest part of that batch. A run that dies before the commit leaves nothing that later runs count; one that dies
-after it is complete. A file whose size or checksum has changed is processed again; its newer batch supersedes the older one.
-
+with the manifest by path, size and checksum, writes the batch's output under its own identifier (a batch run again replaces
+its output), and only then commits the manifest part of that batch. A run that dies before the commit leaves nothing that later
+runs count; one that dies after it is complete. A file whose size or checksum has changed is processed again; its newer batch
+supersedes the older one.
+
+Commits are numbered and a number can be taken once: of two runs that process the same files at once the second finds its
+number taken, and starts again from the manifest as it is then. Should two still commit one file, its rows count in the batch
+of the higher number only. Many new files are worked off FILES_PER_BATCH at a time.
 An empty folder gives no batch. Names of files are compared as full paths.
 """
 
@@ -16,11 +20,18 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST = "path string, size bigint, modified timestamp, checksum string, batch_id string, batch_no bigint"
 CHUNK = 8 << 20
+#: Files of one batch: what one reader call is given and one commit names.
+FILES_PER_BATCH = 10_000
+ATTEMPTS = 20
+
+
+class Taken(RuntimeError):
+    """Another run has committed under this number."""
 
 
 def checksums(files: DataFrame) -> DataFrame:
@@ -45,21 +56,29 @@ def checksums(files: DataFrame) -> DataFrame:
 
 @dataclass
 class IncrementalRun:
-    """One consumer of a folder of input files; `state` holds its outputs and its manifest."""
+    """One consumer of a folder of input files; `state` holds its outputs and its manifest.
+
+    trust_times: take a file of the size and time of its manifest entry as known without reading it for its checksum.
+    keep_vanished: rows of files that are no longer listed go on counting, as where inputs are archived once they are read."""
 
     spark: SparkSession
     inputs: str
     state: str
     suffix: str = ".parquet"
+    trust_times: bool = False
+    keep_vanished: bool = False
 
     @property
     def manifest_path(self) -> str:
         return f"{self.state}/manifest"
 
+    def _path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        fs, p = self._path(path)
+        return fs.exists(p)
 
     def manifest(self) -> DataFrame:
         """Files of all committed batches."""
@@ -77,40 +96,62 @@ class IncrementalRun:
         return self.manifest().groupBy("path").agg(F.max_by(F.struct("size", "modified", "checksum", "batch_id"), "batch_no").alias("m")).select("path", "m.*")
 
     def pending(self) -> DataFrame:
-        """path, size, modified, checksum of new and changed files.
-
-        Files listed with the size and time of their manifest entry are known without being read; the rest is read once for
-        its checksum and anti-joined by it, so that a file merely touched is not processed again."""
-        known = self.latest()
-        fresh = self.listing().join(known.select("path", "size", "modified"), ["path", "size", "modified"], "left_anti")
-        return checksums(fresh).join(known.select("path", "size", "checksum"), ["path", "size", "checksum"], "left_anti")
-
-    def run(self, transform: Callable[[DataFrame], DataFrame], batch_id: str | None = None) -> str | None:
-        """Process the pending files as one batch; returns its identifier, or None if nothing was pending.
-
-        Give the identifier of a batch that failed to repeat it: its output is overwritten."""
-        files = self.pending()
-        rows = files.collect()  # one row per new file, not per record
-        if not rows:
-            return None
-        batch_id = batch_id or uuid.uuid4().hex
-        paths = [r["path"] for r in rows]
-        source = F.col("_metadata.file_path").alias("input_path")
-        out = transform(self.spark.read.parquet(*paths).select("*", source))
-        out.write.mode("overwrite").parquet(f"{self.state}/batches/batch_id={batch_id}")
-        self.commit(batch_id, rows)
-        return batch_id
-
-    def commit(self, batch_id: str, rows: list) -> None:
-        number = self.manifest().agg(F.coalesce(F.max("batch_no"), F.lit(0))).first()[0] + 1
+        """path, size, modified, checksum of new and changed files."""
+        known, files = self.latest(), self.listing()
+        if self.trust_times:
+            files = files.join(known.select("path", "size", "modified"), ["path", "size", "modified"], "left_anti")
+        return checksums(files).join(known.select("path", "size", "checksum"), ["path", "size", "checksum"], "left_anti")
+
+    def run(self, transform: Callable[[DataFrame], DataFrame], batch_id: str | None = None) -> list[str]:
+        """Process the pending files; returns the identifiers of the batches committed, none if nothing was pending.
+
+        Give the identifier of a batch that failed to repeat it: its output is overwritten. It then takes all pending files."""
+        done: list[str] = []
+        for _ in range(ATTEMPTS):
+            number = self.next_number()
+            files = self.pending().orderBy("path")
+            rows = (files if batch_id else files.limit(FILES_PER_BATCH + 1)).collect()  # one row per file, not per record
+            more = not batch_id and len(rows) > FILES_PER_BATCH
+            rows = rows[:FILES_PER_BATCH] if more else rows
+            if not rows:
+                return done
+            name = batch_id or uuid.uuid4().hex
+            source = F.col("_metadata.file_path").alias("input_path")
+            out = transform(self.spark.read.parquet(*[r["path"] for r in rows]).select("*", source))
+            out.write.mode("overwrite").parquet(f"{self.state}/batches/batch_id={name}")
+            try:
+                self.commit(name, rows, number)
+            except Taken:
+                continue  # what this run wrote is not counted; the files may be done by now
+            done.append(name)
+            if not more:
+                return done
+        raise Taken(f"{self.state}: other runs commit all the time")
+
+    def next_number(self) -> int:
+        """The first number above all that were ever taken; a run that died after taking one leaves a gap."""
+        fs, folder = self._path(f"{self.state}/numbers")
+        return 1 + max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0) if fs.exists(folder) else 1
+
+    def commit(self, batch_id: str, rows: list, number: int) -> None:
+        """Add the batch to the manifest under a number that nobody else has.
+
+        The entry is written beside the manifest and renamed into it: it is there as a whole or not at all."""
         entry = self.spark.createDataFrame([(r["path"], r["size"], r["modified"], r["checksum"], batch_id, number) for r in rows], MANIFEST)
-        entry.coalesce(1).write.mode("append").parquet(self.manifest_path)  # one file: there as a whole or not at all
+        fs, made = self._path(f"{self.state}/commits/{batch_id}")
+        entry.coalesce(1).write.mode("overwrite").parquet(str(made))
+        part = next(f.getPath() for f in fs.listStatus(made) if f.getPath().getName().startswith("part-"))
+        fs.mkdirs(self._path(self.manifest_path)[1])
+        if not fs.createNewFile(self._path(f"{self.state}/numbers/{number:09d}")[1]):
+            raise Taken(f"batch number {number} is taken")
+        if not fs.rename(part, self._path(f"{self.manifest_path}/{number:09d}.parquet")[1]):
+            raise OSError(f"{self.manifest_path}: batch number {number} can't be committed")
 
     def output(self) -> DataFrame:
         """Rows of the committed batches; a row whose input file was processed again later counts in its newest batch only."""
+        live = self.latest() if self.keep_vanished else self.latest().join(self.listing().select("path"), "path", "left_semi")
         batches = self.spark.read.parquet(f"{self.state}/batches")
-        live = F.broadcast(self.latest().select(F.col("path").alias("input_path"), "batch_id"))  # one row per input file
-        return batches.join(live, ["input_path", "batch_id"], "left_semi")
+        return batches.join(live.select(F.col("path").alias("input_path"), "batch_id"), ["input_path", "batch_id"], "left_semi")
 
 
 def run_of(rows: DataFrame, run_log: DataFrame, stage: str, at: str, id_column: str = "run_id", status: str = "run_status") -> DataFrame:
@@ -130,25 +171,25 @@ def lastmod_day(lastmod):
     return F.to_date(F.try_to_timestamp(full, F.lit("yyyy-MM-dd")))
 
 
-def due_urls(listings: DataFrame, attempts: DataFrame) -> DataFrame:
+def due_urls(listings: DataFrame, attempts: DataFrame, run_log: DataFrame) -> DataFrame:
     """Distinct url that the next fetch run must take.
 
-    listings: url, lastmod_day (latest_listings). attempts: url, done_at (done_attempts). A url is due if no attempt at it is
-    done, or if its latest lastmod is a later day than the UTC day of its last done attempt. Null urls are none."""
+    listings: url, lastmod_day (latest_listings). attempts: url, at (good_attempts). A url is due if no attempt at it is done, or
+    if its latest lastmod is a later day than the UTC day of its last done attempt. An attempt is done if it is good and its
+    fetch run succeeded, as run_log has it now. Null urls are none."""
     listed = listings.where("url is not null").groupBy("url").agg(F.max("lastmod_day").alias("lastmod_day"))
-    done = attempts.groupBy("url").agg(F.max("done_at").alias("done_at"))
+    ok = run_of(attempts, run_log, "fetch", "at").where(F.col("run_status") == "success")
+    done = ok.groupBy("url").agg(F.max("at").alias("done_at"))
     joined = listed.join(done, "url", "left")
     return joined.where(F.col("done_at").isNull() | (F.col("lastmod_day") > F.to_date("done_at"))).select("url")
 
 
-def done_attempts(manifest: DataFrame, run_log: DataFrame) -> DataFrame:
-    """url, done_at, input_path: the last done attempt per url of each input file.
+def good_attempts(manifest: DataFrame) -> DataFrame:
+    """Distinct url, at, input_path of the attempts with status 200 and no error; unreadable times belong to no run.
 
-    Done: status 200, no error, in a fetch run that succeeded; unreadable times belong to no run."""
+    Whether their run succeeded is not asked here: a run may still be going on when its rows are read."""
     good = manifest.where((F.col("status") == 200) & (F.coalesce(F.trim("error"), F.lit("")) == "") & F.col("url").isNotNull())
-    timed = good.select("url", "input_path", F.try_to_timestamp("fetched_at").alias("at"))
-    ok = run_of(timed, run_log, "fetch", "at").where(F.col("run_status") == "success")
-    return ok.groupBy("url", "input_path").agg(F.max("at").alias("done_at"))
+    return good.select("url", F.try_to_timestamp("fetched_at").alias("at"), "input_path").where("at is not null").distinct()
 
 
 def latest_listings(discovered: DataFrame) -> DataFrame:
@@ -159,16 +200,10 @@ def latest_listings(discovered: DataFrame) -> DataFrame:
 def plan_fetch(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     """Bring the state of both ledgers up to date with their new or changed files, then list the urls due (column url).
 
-    Only what the state lacks is read; each file's rows are reduced to one per url before they are kept."""
-    run_log = spark.read.parquet(f"{sf_dir}/run_log.parquet")
+    Only files that the state lacks are processed; what is kept of them is what later answers need, and runs are looked up when
+    urls are listed."""
     ledgers = IncrementalRun(spark, f"{sf_dir}/discovered_urls.parquet", f"{state}/listings")
     attempts = IncrementalRun(spark, f"{sf_dir}/fetch_manifest.parquet", f"{state}/attempts")
     ledgers.run(latest_listings)
-    attempts.run(lambda rows: done_attempts(rows, run_log))
-    return due_urls(ledgers.output(), attempts.output())
-
-
-def latest_by(rows: DataFrame, key: list[str], order: list) -> DataFrame:
-    """The last row of each key by the given order; ties are broken by it being complete."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    attempts.run(good_attempts)
+    return due_urls(ledgers.output(), attempts.output(), spark.read.parquet(f"{sf_dir}/run_log.parquet"))
