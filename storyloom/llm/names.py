@@ -50,19 +50,29 @@ for _i, _group in enumerate(NICKNAMES.split(";")):
     for _name in _group.split():
         NICK.setdefault(_name, set()).add(_i)
 
-#: A last word of so many different spellings, and of this share of them, is a kind.
-KIND_SHARE, KIND_LEAST = 0.004, 8
-ROWS, WANTED_SIMILARITY, WANTED_RECALL = 3, 0.35, 0.93
+#: A last word of so many different names is a kind, at any number of spellings; so many of a field's are used at most.
+KIND_LEAST, MOST_KINDS = 8, 2000
+#: Readings of this similarity are to meet in a band with this probability; strangers of one kind are about so similar.
+WANTED_SIMILARITY, WANTED_RECALL, STRANGERS = 0.35, 0.93, 0.12
+#: Open links that one task finishes the clustering of; above, it goes on round by round with the same result.
+FEW_LINKS = 200_000
 LINK, WORD_LINK = 0.8, 0.62
 PAREN = re.compile(r"\([^)]*\)")
 CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-Z])")
 
 
-def bands(similarity: float = WANTED_SIMILARITY, recall: float = WANTED_RECALL, rows: int = ROWS) -> int:
+def bands(rows: int, similarity: float = WANTED_SIMILARITY, recall: float = WANTED_RECALL) -> int:
     """Fewest bands with which a pair of this similarity meets with this probability: 1 - (1 - s^rows)^bands."""
     return int(np.ceil(np.log(1 - recall) / np.log(1 - similarity**rows)))
 
 
+def band_shape(n: int) -> tuple[int, int]:
+    """(rows, bands) for n readings of one kind: the recall is that of the collision curve whatever the rows; more rows keep
+    strangers apart, at the price of more bands, so that pairs grow with about the root of n a reading and not with n."""
+    rows = min(range(2, 8), key=lambda r: bands(r) * (1 + n * STRANGERS**r))
+    return rows, bands(rows)
+
+
 def raw_words(name: str) -> list[str]:
     """Words of a spelling; a full stop stays on abbreviations, legal forms are gone."""
     text = " ".join(w if fold(w).strip(".,") in LEGAL else CAMEL.sub(" ", w) for w in PAREN.sub(" ", name).split())
@@ -181,18 +191,21 @@ def signatures(readings: pd.Series, n: int) -> np.ndarray:
 
 
 def kind_words(names: DataFrame) -> dict[str, dict[str, str]]:
-    """field -> words for its kinds: last words that many different spellings share, with the fixed ones.
-
-    Their number is bounded by 1 / KIND_SHARE a field."""
-    last = F.lower(F.element_at(F.split(F.trim("name"), r"\s+"), -1))
-    total = names.groupBy("field").agg(F.count("*").alias("all"))
-    often = names.groupBy("field", last.alias("w")).agg(F.count("*").alias("n")).join(F.broadcast(total), "field")  # two fields
-    rows = often.where((F.col("n") >= KIND_LEAST) & (F.col("n") >= F.col("all") * KIND_SHARE) & F.col("w").rlike("^[a-z]{4,}$")).select("field", "w").collect()
-    out = {field: set(words) for field, words in KINDS.items()}
+    """field -> words for its kinds: last words of at least KIND_LEAST different names, with the fixed ones.
+
+    Taken from the most frequent down; one that reads as a short or misspelt form of another is no kind of its own."""
+    words = F.split(F.lower(F.trim("name")), r"\s+")
+    rest = F.array_join(F.slice(words, 1, F.size(words) - 1), " ")
+    ends = names.where(F.size(words) > 1).select("field", F.element_at(words, -1).alias("w"), rest.alias("rest")).where(F.col("w").rlike("^[a-z]{4,}$")).distinct()
+    often = ends.groupBy("field", "w").agg(F.count("*").alias("n")).where(F.col("n") >= KIND_LEAST)
+    first = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "w"))
+    rows = often.withColumn("i", first).where(F.col("i") <= MOST_KINDS).orderBy("field", "i").select("field", "w").collect()
+    out = {field: {w: w for w in words} for field, words in KINDS.items()}
     for r in rows:
-        if r["w"] not in LEGAL and r["w"] not in DROPPED and r["w"] not in SECOND.values() and r["w"] not in SAME_KIND:
-            out.setdefault(r["field"], set()).add(r["w"])
-    return {field: {w: w for w in sorted(words)} for field, words in out.items()}
+        kinds = out.setdefault(r["field"], {})
+        if r["w"] not in LEGAL and r["w"] not in DROPPED and r["w"] not in SECOND.values() and kind_of(r["w"], kinds) is None:
+            kinds[r["w"]] = r["w"]
+    return out
 
 
 def readings(names: DataFrame, vendors: list[str]) -> DataFrame:
@@ -209,19 +222,26 @@ def readings(names: DataFrame, vendors: list[str]) -> DataFrame:
 
 
 def candidates(keys: DataFrame) -> DataFrame:
-    """Pairs of readings (columns of keys with suffixes _a, _b) that share a band. Kinds agree or one is missing."""
-    n = bands()
+    """key_a, key_b of the readings that share a band. Kinds agree or one is missing; their numbers of words differ by one at
+    most, as similarity asks for."""
+    most = keys.groupBy("field", "kind").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    width, n = band_shape(most)
 
     def band(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sig = signatures(pdf["words"], n * ROWS).reshape(len(pdf), n, ROWS).astype(np.uint64)
-            h = (sig[:, :, 0] * np.uint64(0x9E3779B1) + sig[:, :, 1] * np.uint64(0x85EBCA77) + sig[:, :, 2] * np.uint64(0xC2B2AE3D)) ^ (np.arange(n, dtype=np.uint64) << np.uint64(40))
-            yield pd.DataFrame({"band": h.view(np.int64).ravel(), "key": np.repeat(pdf["key"].to_numpy(), n), "field": np.repeat(pdf["field"].to_numpy(), n), "kind": np.repeat(pdf["kind"].to_numpy(), n)})
-
-    rows = keys.select("key", "field", "kind", "words").mapInPandas(band, "band bigint, key bigint, field string, kind string")
-    a, b = (rows.select("band", "field", F.col("kind").alias(f"kind_{s}"), F.col("key").alias(f"key_{s}")) for s in "ab")
-    same = a.join(b.withColumnRenamed("kind_b", "kind_a"), ["band", "field", "kind_a"]).where("key_a < key_b").select("key_a", "key_b")
-    open_ = a.where("kind_a = ''").join(b.where("kind_b <> ''"), ["band", "field"]).select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
+            sig = signatures(pdf["words"], n * width).reshape(len(pdf), n, width).astype(np.uint64)
+            h = np.arange(n, dtype=np.uint64) << np.uint64(40)
+            for i in range(width):
+                h = (h ^ sig[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(31)
+            yield pd.DataFrame({"band": h.view(np.int64).ravel(), **{c: np.repeat(pdf[c].to_numpy(), n) for c in ("key", "field", "kind", "size")}})
+
+    counted = keys.select("key", "field", "kind", "words", F.size(F.split("words", " ")).alias("size"))
+    rows = counted.mapInPandas(band, "band bigint, key bigint, field string, kind string, size int")
+    a, b = (rows.select("band", "field", F.col("kind").alias(f"kind_{s}"), F.col("key").alias(f"key_{s}"), F.col("size").alias(f"size_{s}")) for s in "ab")
+    alike = F.abs(F.col("size_a") - F.col("size_b")) <= 1
+    same = a.join(b.withColumnRenamed("kind_b", "kind_a"), ["band", "field", "kind_a"]).where(alike).where("key_a < key_b").select("key_a", "key_b")
+    open_ = a.where("kind_a = ''").join(b.where("kind_b <> ''"), ["band", "field"]).where(alike).select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
     return same.unionByName(open_).distinct()
 
 
@@ -239,30 +259,52 @@ def verified(pairs: DataFrame, keys: DataFrame) -> DataFrame:
     return pairs.join(a, "key_a").join(b, "key_b").repartition(spread).mapInPandas(score, "key_a bigint, key_b bigint, score double")
 
 
-def stars(keys: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
+def finished(open_: DataFrame) -> DataFrame:
+    """key_a of the centres among few open links (key_a, key_b, rank_a, rank_b), taken by rank in one task: as rounds would."""
+
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        near: dict[int, list[int]] = {}
+        rank: dict[int, tuple] = {}
+        for a, b, r in zip(pdf["key_a"], pdf["key_b"], zip(pdf["full"], pdf["n"], pdf["key_a"])):
+            near.setdefault(a, []).append(b)
+            rank[a] = r
+        closed: set[int] = set()
+        centres = []
+        for k in sorted(rank, key=rank.__getitem__, reverse=True):
+            if k not in closed:
+                centres.append(k)
+                closed.update(near[k])
+        return pd.DataFrame({"key_a": np.array(centres, dtype=np.int64)})
+
+    rows = open_.select("key_a", "key_b", F.col("rank_a.full").alias("full"), F.col("rank_a.n").alias("n"), F.lit(0).alias("all"))
+    return rows.groupBy("all").applyInPandas(greedy, "key_a bigint")
+
+
+def stars(keys: DataFrame, links: DataFrame) -> DataFrame:
     """key, centre: stars around the most frequent readings.
 
     In each round every open reading that outranks its open neighbours becomes a centre, and its open neighbours close. Ranks
-    differ, so each round decides at least one reading of every open part. A satellite joins its best-fitting centre; one
-    that fits two centres equally well, with a word or the kind missing, stays alone."""
+    differ, so each round decides at least one reading of every open part; rounds go on until none is open, the last links,
+    once they are few, in one task. A satellite joins its best-fitting centre; one that fits two centres equally well, with a
+    word or the kind missing, stays alone."""
     rank = F.struct(F.col("full"), F.col("n"), F.col("key"))
     ranked = keys.select("key", rank.alias("rank"))
     both = links.unionByName(links.select(F.col("key_b").alias("key_a"), F.col("key_a").alias("key_b"), "score"))
     edges = materialize(both.join(ranked.toDF("key_a", "rank_a"), "key_a").join(ranked.toDF("key_b", "rank_b"), "key_b"), "name-links")
     open_ = edges
     centres = None
-    for _ in range(rounds):
+    while (n := open_.count()) > FEW_LINKS:
         top = open_.groupBy("key_a", "rank_a").agg(F.max("rank_b").alias("best")).where("rank_a > best").select("key_a")
         top = materialize(top, "name-centres")
-        centres = top if centres is None else centres.unionByName(top)
-        closed = open_.join(top, "key_a", "left_semi").select(F.col("key_b").alias("key_a")).unionByName(top).distinct()
+        closed = materialize(open_.join(top, "key_a", "left_semi").select(F.col("key_b").alias("key_a")).unionByName(top).distinct(), "name-closed")
         left = open_.join(closed, "key_a", "left_anti").join(closed.withColumnRenamed("key_a", "key_b"), "key_b", "left_anti")
         # a reading whose neighbours are all closed is a centre of its own
         alone = open_.select("key_a").distinct().join(closed, "key_a", "left_anti").join(left.select("key_a").distinct(), "key_a", "left_anti")
-        centres = centres.unionByName(alone)
+        done = top.unionByName(alone)
+        centres = done if centres is None else centres.unionByName(done)
         open_ = materialize(left.select(open_.columns), "name-open")
-        if open_.isEmpty():
-            break
+    if n or centres is None:
+        centres = finished(open_) if centres is None else centres.unionByName(finished(open_))
     centres = materialize(centres.distinct(), "name-centres")
     w = Window.partitionBy("key_a").orderBy(F.desc("score"), F.desc("rank_b"))
     fits = edges.join(centres.withColumnRenamed("key_a", "key_b"), "key_b", "left_semi").join(centres, "key_a", "left_anti")
