@@ -2,10 +2,13 @@
 
 Sizes are tokens of a public tokenizer. Unless a size is given, the mixture is the largest in which every source that has
 tokens reaches its target; a source without any can't, and its share goes to the others by their targets. With a given size,
-a source that its documents, used max_repeats times each, can't fill gives all of that, and the others make up for it likewise. A document of a source gets the source's copies per document as expectation: the whole part outright, the fraction by
+a source that its documents, used max_repeats times each, can't fill gives all of that, and the others make up for it likewise. 
+A document of a source gets the source's copies per document as expectation: the whole part outright, the fraction by
 rounding. Two documents at a time, token mass is moved from one's fraction to the other's, in a direction drawn so that
-expectations hold, until one fraction is 0 or 1; the source's tokens stay the same throughout. What is left of each partition,
-one document a source, is paired in a reduction tree; the last one is drawn. Draws depend on document ids and the seed only.
+expectations hold, until one fraction is 0 or 1; the source's tokens stay the same throughout. Each source is cut into cells
+by a hash of the document, of about CELL documents, and a cell is paired in the order of such a hash; the one document it
+leaves open goes up a reduction tree of FAN_IN cells to a node, and the root's is drawn. Cells, order and draws depend on
+document ids, the seed and the number of a source's documents alone, so any partitioning of the input gives the same copies.
 
 Documents without a listed source are not used. Null and empty texts have no tokens; they get the whole part of the copies.
 """
@@ -13,8 +16,8 @@ Documents without a listed source are not used. Null and empty texts have no tok
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, spread
 
-#: Residuals that one task of the reduction tree rounds.
-FAN_IN = 64
+#: Documents of a source that one group pairs, and residuals that a node of the reduction tree pairs.
+CELL, FAN_IN = 20_000, 64
 EPS = 1e-9
 
 
@@ -79,7 +82,7 @@ def plan_sources(sizes: dict[str, int], targets: list[tuple[str, float, int]], t
 
 def draw(seed: int, *ids: int) -> float:
     """A number in [0, 1) from the ids."""
-    return zlib.crc32(":".join(map(str, (seed, *ids))).encode()) / 4294967296
+    return int.from_bytes(hashlib.blake2b(":".join(map(str, (seed, *ids))).encode(), digest_size=6).digest()) / (1 << 48)
 
 
 class Pivot:
@@ -113,23 +116,23 @@ class Pivot:
         return out
 
 
-ROUNDED = "doc_id bigint, source string, tokens bigint, base int, p double, extra int"
+NODE = "doc_id bigint, source string, tokens bigint, base int, p double, cell bigint"
+ROUNDED = f"{NODE}, extra int"
 
 
-def _round(batches: Iterator[pd.DataFrame], seed: int) -> Iterator[pd.DataFrame]:
-    pivots: dict[str, Pivot] = {}
-    about: dict[int, tuple] = {}
-    for pdf in batches:
-        rows = []
-        for doc, source, tokens, base, p in zip(pdf["doc_id"], pdf["source"], pdf["tokens"], pdf["base"], pdf["p"]):
-            about[doc] = (source, tokens, base)
-            pivot = pivots.setdefault(source, Pivot(seed))
-            for d, extra in pivot.add(doc, tokens, p):
-                s, t, b = about.pop(d)
-                rows.append((d, s, t, b, float(extra), extra))
-        yield pd.DataFrame(rows, columns=["doc_id", "source", "tokens", "base", "p", "extra"]).astype({"extra": "Int32"})
-    rest = [(v.open[0], *about[v.open[0]], v.open[2], None) for v in pivots.values() if v.open]
-    yield pd.DataFrame(rest, columns=["doc_id", "source", "tokens", "base", "p", "extra"]).astype({"extra": "Int32"})
+def rounded(rows: DataFrame, seed: int) -> DataFrame:
+    """rows (columns of NODE) with extra: 0 or 1 where their cell decides them, null for the one it leaves open."""
+
+    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(o=[draw(seed, d, -1) for d in pdf["doc_id"]]).sort_values(["o", "doc_id"])
+        pivot, extra, p = Pivot(seed), {}, dict(zip(pdf["doc_id"], pdf["p"]))
+        for d, tokens, x in zip(pdf["doc_id"], pdf["tokens"], pdf["p"]):
+            extra.update(pivot.add(d, tokens, x))
+        if pivot.open:
+            p[pivot.open[0]] = pivot.open[2]
+        return pdf.drop(columns="o").assign(p=[p[d] for d in pdf["doc_id"]], extra=pd.array([extra.get(d) for d in pdf["doc_id"]], dtype="Int32"))
+
+    return rows.groupBy("source", "cell").applyInPandas(pair, ROUNDED)
 
 
 def mix(documents: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 11, path: str | None = None) -> DataFrame:
@@ -138,48 +141,51 @@ def mix(documents: DataFrame, targets: DataFrame, total: int | None = None, seed
     spark = documents.sparkSession
     names = spark.createDataFrame([(s,) for s, _, _ in wanted], "source string")
     sized = materialize(count_tokens(documents.join(F.broadcast(names), "source", "left_semi"), path), "document-tokens")
-    sizes = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+    about = {r["source"]: (r["n"], r["docs"]) for r in sized.groupBy("source").agg(F.sum("tokens").alias("n"), F.count("*").alias("docs")).collect()}
+    sizes = {s: n for s, (n, _) in about.items()}
     given = plan_sources(sizes, wanted, total)
-    copies = spark.createDataFrame([(s, given[s] / sizes[s] if sizes.get(s) else 0.0) for s, _, _ in wanted], "source string, per_document double")
+    cells = {s: max(1, -(-about[s][1] // CELL)) for s in about}
+    copies = spark.createDataFrame([(s, given[s] / sizes[s] if sizes.get(s) else 0.0, cells.get(s, 1)) for s, _, _ in wanted], "source string, per_document double, cells bigint")
     rows = sized.join(F.broadcast(copies), "source")
     base = F.floor(F.col("per_document") + EPS).cast("int")
-    rows = rows.select("doc_id", "source", "tokens", base.alias("base"), F.greatest(F.lit(0.0), F.col("per_document") - base).alias("p"))
-    rounded = materialize(rows.mapInPandas(lambda b: _round(b, seed), ROUNDED), "mix-0")
-    done = [rounded.where("extra is not null")]
-    left = rounded.where("extra is null")
-    level = 0
-    while (n := left.count()) > len(wanted):
-        level += 1
-        groups = max(1, -(-n // FAN_IN))
-
-        def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.concat(list(_round(iter([pdf.sort_values("doc_id")]), seed)))
-
-        group = F.pmod(F.xxhash64("doc_id", F.lit(level)), F.lit(groups))
-        step = left.withColumn("g", group).groupBy("source", "g").applyInPandas(lambda pdf: merge(pdf.drop(columns="g")), ROUNDED)
-        step = materialize(step, f"mix-{level}")
+    cell = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("cells")).alias("cell")
+    rows = rows.select("doc_id", "source", "tokens", base.alias("base"), F.greatest(F.lit(0.0), F.col("per_document") - base).alias("p"), cell)
+    whole = rows.where(F.col("p") <= EPS).withColumn("extra", F.lit(0))  # nothing to round, nothing to shuffle
+    left = rows.where(F.col("p") > EPS)
+    done, most = [whole], max(cells.values(), default=1)
+    while True:
+        step = materialize(rounded(left, seed), "mix")
         done.append(step.where("extra is not null"))
-        left = step.where("extra is null")
-        if left.count() == n:
-            break  # each source has one left
+        left = step.where("extra is null").drop("extra").withColumn("cell", F.floor(F.col("cell") / FAN_IN))
+        if most == 1:
+            break
+        most = -(-most // FAN_IN)
+
     def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf.assign(extra=[int(draw(seed, d) < p) for d, p in zip(pdf["doc_id"], pdf["p"])])
 
-    out = left.mapInPandas(last, ROUNDED)
+    out = left.mapInPandas(last, ROUNDED)  # one a source
     for d in done:
         out = out.unionByName(d)
     return out.select("doc_id", "source", "tokens", (F.col("base") + F.col("extra")).alias("copies"))
 
 
+def listed_tokens(documents: DataFrame, targets: DataFrame, path: str | None = None) -> int:
+    """Tokens of all documents of the listed sources."""
+    names = targets.select("source").distinct()
+    return count_tokens(documents.join(F.broadcast(names), "source", "left_semi"), path).agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]  # one row per source
+
+
 def shares(documents: DataFrame, targets: DataFrame, total: int | None = None, path: str | None = None) -> DataFrame:
-    """One row per target: source, target_share, max_repeats, documents, available_tokens, mixed_tokens, most_copies, reached_share."""
+    """One row per target: source, target_share, max_repeats, documents, available_tokens, unused_tokens (of documents left
+    out), mixed_tokens, most_copies, reached_share."""
     mixed = mix(documents, targets, total, path=path)
-    per = mixed.groupBy("source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("available_tokens"), F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), F.max("copies").alias("most_copies"))
-    out = targets.join(per, "source", "left").fillna(0, ["documents", "available_tokens", "mixed_tokens", "most_copies"])
+    per = mixed.groupBy("source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("available_tokens"), F.sum(F.when(F.col("copies") == 0, F.col("tokens")).otherwise(0)).alias("unused_tokens"), F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), F.max("copies").alias("most_copies"))
+    out = targets.join(per, "source", "left").fillna(0, ["documents", "available_tokens", "unused_tokens", "mixed_tokens", "most_copies"])
     out = materialize(out, "mix-shares")
     whole = F.broadcast(out.agg(F.sum("mixed_tokens").alias("whole")))  # one row
     return out.join(whole).select(
-        "source", "target_share", "max_repeats", "documents", "available_tokens", "mixed_tokens", "most_copies",
+        "source", "target_share", "max_repeats", "documents", "available_tokens", "unused_tokens", "mixed_tokens", "most_copies",
         F.when(F.col("whole") > 0, F.col("mixed_tokens") / F.col("whole")).otherwise(0.0).alias("reached_share"),
     )
