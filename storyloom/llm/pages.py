@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import math
+import pickle
 import re
 import zlib
 from collections import defaultdict
@@ -37,6 +38,8 @@ ANCHOR = re.compile(r"<a [^<>]*>([^<]*)</a>$")
 CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 DIGITS = re.compile(r"\d+")
 NUMBER = re.compile(r"\d[\d.,:]*")
+MARKUP = re.compile(r"<(?:html|!doctype|body)\b", re.I)
+FRAGMENT = re.compile(r"^\s*</?(?:div|section|article|main|p|ul|ol|li|h[1-6]|table|tr|td|nav|header|footer|figure)\b[^<>]*>", re.I | re.M)
 INLINE = frozenset("a abbr b big cite code em font i img input br hr small strong sub sup u wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(("script", "style", "title", "template"))
@@ -57,7 +60,8 @@ TAIL_SHARE, ENOUGH_TAIL = 0.9, 8
 #: of the pages where it holds prose (those of its own design).
 WIN_SHARE = 0.05
 ENOUGH_WINS, OWN_SHARE = 5, 0.5
-#: Rules sent to the executors at once; beyond it hosts are worked off in blocks.
+#: Statistics that are turned into rules on the driver and sent to all executors; beyond it hosts get their rules in Spark and
+#: pages meet them in a join. The rules are the same.
 MAX_RULES = 200_000
 
 
@@ -71,8 +75,11 @@ def generalise(tag: str, attrs: str) -> str:
 
 
 def is_markup(body: str) -> bool:
-    head = body[:2048].lower()
-    return "<html" in head or "<!doctype" in head or "<body" in head
+    """Whether a page is written in tags: not begun as the reader service begins, it says so anywhere (comments may come first)
+    or is a fragment with lines that start with block elements."""
+    if body.lstrip().startswith(("Title:", "# ")):
+        return False
+    return bool(MARKUP.search(body)) or len(FRAGMENT.findall(body)) >= 2
 
 
 def parse_markup(body: str) -> list[tuple[int, str, str, str, bool]]:
@@ -240,6 +247,7 @@ def masked(text: str, host: str) -> str:
     return NUMBER.sub("0", text.replace(host, "\0") if host else text)
 
 
+COUNTS = ("n", "links", "digits", "tail", "wins")
 STATS = ["host", "container", "leaf", "n", "links", "digits", "tail", "wins"] + [f"b{i}" for i in range(N_LONGS)]
 STATS_DDL = "host string, container string, leaf string, n bigint, links bigint, digits bigint, tail bigint, wins bigint, " + ", ".join(f"b{i} bigint" for i in range(N_LONGS))
 #: The container under which pages per exemplar word are counted; all pages are counted under the word ''.
@@ -311,7 +319,7 @@ def path_statistics(pages: DataFrame) -> DataFrame:
     (leaf '': n is the pages with prose in the container) and a bitmap of the texts seen.
 
     pages: host, body. Summed inside each partition first, so what is shuffled grows with hosts and paths, not pages."""
-    sums = [F.sum(c).alias(c) for c in ("n", "links", "digits", "tail", "wins")]
+    sums = [F.sum(c).alias(c) for c in COUNTS]
     return pages.select("host", "body").mapInPandas(_gather, STATS_DDL).groupBy("host", "container", "leaf").agg(*sums, *[F.expr(f"bit_or(b{i})").alias(f"b{i}") for i in range(N_LONGS)])
 
 
@@ -426,38 +434,66 @@ def host_pages(raw_pages: DataFrame) -> DataFrame:
     return spread(raw_pages.select("raw_path", host_of(F.col("vendor"), F.col("raw_path")).alias("host"), "body"))
 
 
-def apply_rules(pages: DataFrame, work, ddl: str) -> DataFrame:
+LEAF_SUMS = "signature string, n bigint, links bigint, digits bigint, tail bigint, " + ", ".join(f"b{i} bigint" for i in range(N_LONGS))
+
+
+def _host_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The leaf_sums of one host's statistics as rows."""
+    by_host, winners, _ = host_votes(pdf.to_dict("records"))
+    mask = (1 << 64) - 1
+    rows = []
+    for leaf, v in leaf_sums(by_host, winners).items():
+        longs = [(v[4] >> (64 * i)) & mask for i in range(N_LONGS)]
+        rows.append([leaf, *v[:4], *(x - (1 << 64) if x >> 63 else x for x in longs)])
+    return pd.DataFrame(rows, columns=["signature", "n", "links", "digits", "tail", *(f"b{i}" for i in range(N_LONGS))])
+
+
+def _host_rules(pdf: pd.DataFrame) -> pd.DataFrame:
+    """host, rules: make_rules of one host, whose rows also carry the sums of their leaf signature over all hosts."""
+    whole = {}
+    for r in pdf[pdf["signature"].notna() & pdf["all_n"].notna()].drop_duplicates("signature").to_dict("records"):
+        bitmap = sum((int(r[f"all_b{i}"]) & ((1 << 64) - 1)) << (64 * i) for i in range(N_LONGS))
+        whole[r["signature"]] = [*(int(r[f"all_{c}"]) for c in ("n", "links", "digits", "tail")), bitmap]
+    rules = make_rules(pdf.to_dict("records"), whole)
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "rules": [pickle.dumps(rules)]})
+
+
+def spark_rules(stats: DataFrame) -> DataFrame:
+    """host, rules (make_rules of the host, pickled) for any number of hosts: a host's statistics are one group, its templates."""
+    sums = stats.groupBy("host").applyInPandas(_host_leaves, LEAF_SUMS).groupBy("signature")
+    columns = ["n", "links", "digits", "tail"]
+    bits = [f"b{i}" for i in range(N_LONGS)]
+    whole = sums.agg(*[F.sum(c).alias(f"all_{c}") for c in columns], *[F.expr(f"bit_or({b})").alias(f"all_{b}") for b in bits])
+    signed = stats.withColumn("signature", F.when(F.col("leaf") != "", F.regexp_replace("leaf", r"\.[^/]*", ".*")))
+    return signed.join(whole, "signature", "left").groupBy("host").applyInPandas(_host_rules, "host string, rules binary")
+
+
+def apply_rules(pages: DataFrame, work, ddl: str, stats: DataFrame | None = None) -> DataFrame:
     """Run work(host, body, rules, index) over all pages (columns raw_path, host, body) with the rules of their hosts.
 
-    work yields rows without raw_path. The statistics are brought to the driver per block of hosts of a bounded size."""
-    spark = pages.sparkSession
-    sc = spark.sparkContext
-    stats = materialize(path_statistics(pages), "host-paths")
-    counts = {r["leaf"]: r["n"] for r in stats.where(F.col("container") == WORDS).collect()}
+    work yields rows without raw_path. stats: the path_statistics to read pages by; without it, those of these pages."""
+    sc = pages.sparkSession.sparkContext
+    stats = materialize(path_statistics(pages), "host-paths") if stats is None else stats
+    counts = {r["leaf"]: r["n"] for r in stats.where(F.col("container") == WORDS).collect()}  # the exemplars' words
     index = residue.Index(residue.EXEMPLARS, counts)
     stats = stats.where(F.col("container") != WORDS)
-    blocks = max(1, math.ceil(stats.count() / MAX_RULES))
-    selected = [F.lit(True) if blocks == 1 else F.pmod(F.xxhash64("host"), F.lit(blocks)) == k for k in range(blocks)]
-    whole: dict | None = None
-    for mine in selected if blocks > 1 else ():
-        by_host, winners, _ = host_votes(stats.where(mine).collect())
-        whole = leaf_sums(by_host, winners, whole)
-    parts = []
-    for mine in selected:
-        shared = sc.broadcast((make_rules(stats.where(mine).collect(), whole), index))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            rules, known = shared.value
-            names = [x.split()[0] for x in ddl.split(", ")]
-            for pdf in batches:
-                rows = [(raw_path, *row) for raw_path, host, body in zip(pdf["raw_path"], pdf["host"], pdf["body"]) for row in work(host, body, rules, known)]
-                yield pd.DataFrame(rows, columns=names)
-
-        parts.append(pages.where(mine).mapInPandas(run, ddl))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = [x.split()[0] for x in ddl.split(", ")]
+    few = stats.count() <= MAX_RULES
+    shared = sc.broadcast((make_rules(stats.collect()) if few else None, index))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rules, known = shared.value
+        last: tuple[str | None, dict] = (None, {})
+        for pdf in batches:
+            rows = []
+            for k, (raw_path, host, body) in enumerate(zip(pdf["raw_path"], pdf["host"], pdf["body"])):
+                if not few and host != last[0]:
+                    packed = pdf["rules"].iloc[k]
+                    last = (host, pickle.loads(packed) if packed is not None else {})
+                rows += [(raw_path, *row) for row in work(host, body, rules if few else last[1], known)]
+            yield pd.DataFrame(rows, columns=names)
+
+    return (pages if few else pages.join(spark_rules(stats), "host", "left")).mapInPandas(run, ddl)
 
 
 def extract_stories(raw_pages: DataFrame) -> DataFrame:
