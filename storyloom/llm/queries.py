@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import table
+from ..session import shared_dir, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,10 +41,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_names(name_spellings(table(spark, sf_dir, "case_studies")), vendors)
 
 
+#: Changes when what is kept of pages changes, so that no state of another kind is read.
+STORIES = "known-stories-1"
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """The folder that keeps what was read of these tables from one call to the next."""
+    return f"{shared_dir(spark)}/{STORIES}-{hashlib.sha256(sf_dir.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .known_pages import known_urls
 
-    return known_urls(*(table(spark, sf_dir, t) for t in ("discovered_urls", "run_log", "fetch_manifest", "raw_pages")))
+    return known_urls(*(table(spark, sf_dir, t) for t in ("discovered_urls", "run_log", "fetch_manifest", "raw_pages")), _state(spark, sf_dir))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +68,13 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p8_found with the latent cosine, the item words covered and the edits."""
+    from .leaks import leak_passages
+
+    return leak_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import shares
 

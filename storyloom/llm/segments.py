@@ -3,8 +3,9 @@
 A text is a string of symbols, one per word. Of each text in the history a fixed number of disjoint segments of equal length
 is stored with position and text length; as many as the allowed edits plus one plus a reserve. Edits can destroy one segment
 each, so a text within the bound shares at least reserve + 1 of them with the probe, at a position shifted by no more than the
-edits. Which disjoint segments are stored is free: the rarest are, by their counts in a bounded sample of the history, which
-keeps common phrases out of the index without losing a pair. Every pair that shares enough is verified by bounded edit distance.
+edits. Which disjoint segments are stored is free: the rarest are, by the segments found frequent over all texts that are
+stored, which keeps common phrases out of the index without losing a pair. Every pair that shares enough is verified by edit
+distance within its bound (a band of the matrix). The index grows by appending the segments of newly accepted texts.
 
 Equal texts are one entry. Texts with fewer than MIN_WORDS words are compared for equality only. Null and empty texts match nothing.
 """
@@ -20,13 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .residue import WORD
 
 #: Share of the longer text's words that may differ.
 RATIO = 0.12
 SEGMENT_WORDS, RESERVE, MIN_WORDS = 5, 1, 8
-#: Texts whose segments are counted to tell common phrases from rare ones; the choice affects speed only, not the result.
-SAMPLE = 3000
+#: A segment that so large a share of some CHUNK of texts holds is common; which are affects speed only, not the result.
+COMMON, CHUNK = 0.0005, 5000
 #: Symbols: 20,992 ideographs and 11,172 syllables, all in the basic plane.
 N_SYMBOLS = 0x9FFF - 0x4E00 + 1 + 0xD7A3 - 0xAC00 + 1
 
@@ -75,25 +77,43 @@ def gram_hashes(c: np.ndarray, q: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def common_segments(history: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the segments that several texts of the sample hold, and in how many they stand."""
-    n = max(1, history.count())
-    picked = history.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) <= int(min(1.0, SAMPLE / n) * 1_000_003)).select("s").collect()
-    held = []
-    for r in picked:
-        if r["s"] and len(r["s"]) >= MIN_WORDS:
-            c = codes(r["s"])
-            held.append(np.unique(gram_hashes(c, segment_length(len(c)))))
-    if not held:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    h, k = np.unique(np.concatenate(held), return_counts=True)
-    return h[k > 1], k[k > 1].astype(np.int32)
+def common_segments(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the common segments of all texts, and in how many texts they stand at least.
+
+    Each CHUNK of texts hands on the segments that a share COMMON of it, and two texts at least, hold: what is that common
+    overall is so in some chunk. Only what adds up to that share of all texts is brought here, so there are at most the
+    segments per text over COMMON, whatever the number of texts."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+
+        def common() -> pd.DataFrame:
+            h, k = np.unique(np.concatenate(held), return_counts=True)
+            often = k >= max(2, math.ceil(COMMON * len(held)))
+            return pd.DataFrame({"h": np.append(h[often], 0), "n": np.append(k[often], 0), "texts": np.append(np.zeros(often.sum(), np.int64), len(held))})
+
+        for pdf in batches:
+            for s in pdf["s"]:
+                if s and len(s) >= MIN_WORDS:
+                    c = codes(s)
+                    held.append(np.unique(gram_hashes(c, segment_length(len(c)))))
+                    if len(held) == CHUNK:
+                        yield common()
+                        held.clear()
+        if held:
+            yield common()
+
+    sums = texts.select("s").mapInPandas(count, "h bigint, n bigint, texts bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+    sums = materialize(sums, "common-segments")
+    total = sums.where("texts > 0").agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    rows = sums.where(F.col("n") >= max(2, math.ceil(COMMON * total))).orderBy("h").select("h", "n").collect()
+    return np.array([r["h"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
 
 
 def chosen_segments(h: np.ndarray, n: int, q: int, common: tuple[np.ndarray, np.ndarray]) -> list[int]:
     """Positions of the rarest disjoint segments: as many as edits + 1 + RESERVE, or all that fit."""
     want = min(edits(n) + 1 + RESERVE, n // q)
-    count = np.zeros(len(h), dtype=np.int32)
+    count = np.zeros(len(h), dtype=np.int64)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], h), len(common[0]) - 1)
         count = np.where(common[0][at] == h, common[1][at], 0)
@@ -156,11 +176,9 @@ def probe_segments(texts: DataFrame) -> DataFrame:
 
 
 def matches(history: DataFrame, batch: DataFrame, segments: DataFrame | None = None) -> DataFrame:
-    """Distinct id of the batch texts within the bound of a history text (both: id, s; id stands for one text).
+    """Distinct old, new: ids of batch texts and of history texts within their bound (both: id, s; id stands for one text).
 
     segments: the stored index of the history; without it, it is built here."""
-    from ..session import materialize
-
     if segments is None:
         segments = history_segments(history, common_segments(history))
     left = segments.select("h", F.col("id").alias("old"), F.col("pos").alias("p"), F.col("n").alias("n"))
@@ -169,29 +187,20 @@ def matches(history: DataFrame, batch: DataFrame, segments: DataFrame | None = N
     most = F.floor(F.col("n") * (RATIO / (1 - RATIO)) + 1e-9).cast("int")
     length = F.least(F.lit(SEGMENT_WORDS), F.floor(F.col("n") / (most + 1)))
     need = F.least(most + 1 + RESERVE, F.floor(F.col("n") / length)) - most
-    low = F.lit(0xFFFFFFFF).cast("bigint")
-    # half of each id is enough to count by: pairs that fall together are told apart when they are verified
     pairs = (
         left.join(right, "h")
         .where((F.abs(F.col("n") - F.col("m")) <= bound) & (F.abs(F.col("p") - F.col("q")) <= bound))
-        .groupBy(F.shiftleft("old", 32).bitwiseOR(F.col("new").bitwiseAND(low)).alias("pair"), need.cast("int").alias("need"))
-        .count()
-        .where("count >= need")
-        .select(F.shiftrightunsigned("pair", 32).alias("o"), F.col("pair").bitwiseAND(low).alias("w"))
+        .where("old <> new")
+        .groupBy("old", "new")
+        .agg(F.count("*").alias("shared"), F.min(need).alias("need"))
+        .where("shared >= need")
+        .select("old", "new")
     )
-    near = (
+    within = f"levenshtein(a, b, cast(floor(greatest(length(a), length(b)) * {RATIO}D + 1e-9D) as int)) >= 0"  # -1 beyond the bound
+    return (
         materialize(pairs, "segment-pairs")
-        .join(history.select(F.col("id").bitwiseAND(low).alias("o"), F.col("id").alias("old"), F.col("s").alias("a")), "o")
-        .join(batch.select(F.col("id").bitwiseAND(low).alias("w"), F.col("id").alias("new"), F.col("s").alias("b")), "w")
-        .where(F.col("old") != F.col("new"))
-        .where(F.levenshtein("a", "b") <= F.floor(F.greatest(F.length("a"), F.length("b")) * RATIO + 1e-9))
-        .select(F.col("new").alias("id"))
+        .join(history.select(F.col("id").alias("old"), F.col("s").alias("a")), "old")
+        .join(batch.select(F.col("id").alias("new"), F.col("s").alias("b")), "new")
+        .where(F.expr(within))
+        .select("old", "new")
     )
-    return near.distinct()
-
-
-def append_segments(texts: DataFrame, path: str, batch_id: str) -> None:
-    """Add the segments of accepted texts (id, s) to the stored index at path; a batch written again replaces itself.
-
-    Read the index with spark.read.parquet(path) and give it to matches() with the history's texts."""
-    history_segments(texts, common_segments(texts)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
