@@ -2,11 +2,11 @@
 
 Texts are cut into overlapping windows and weighted by TF-IDF over hashed words, with document counts of the whole corpus.
 A distributed randomised SVD, fitted on a bounded sample of corpus windows and on all windows of the evaluation items, gives
-the latent space; every corpus window is projected and compared with every item window (the items are a fixed, small set)
-by cosine. What this leaves is retrieved exactly: an index of the items' words tells for every document which items it holds
-enough words of for a chain to be possible. Candidates are then checked word by word: a chain of common words that follows
-the item with few edits, cut at most once by other text, and long enough; the same chain tells which items differ only in
-their answers (numbers, codes), as these count as edits.
+the latent space; every corpus window is projected and compared by cosine with the windows of the items, a block of at most
+ITEMS_AT_ONCE items at a time. What this leaves is retrieved exactly: an index of the items' word pairs tells for every document
+which items it shares enough of them with for a chain to be possible. Candidates are then checked word by word: a chain of
+common words that follows the item with few edits, cut at most once by other text, and long enough; the same chain tells which
+items differ only in their answers (numbers, codes), as these count as edits.
 
 Null and empty texts match nothing; items of fewer than RUN words can't leak by definition.
 """
@@ -31,7 +31,9 @@ BUCKETS, RANK, POWER, SAMPLE = 8192, 128, 2, 20_000
 #: Least cosine in the latent space; chosen for recall, as every candidate is checked afterwards.
 COSINE = 0.3
 GAP = 3
-DOCS_AT_ONCE = 256
+#: Neighbouring words of an item that a chain must hold side by side: RUN words less the edits are common, each edit or the cut parts two.
+PAIRS = RUN - 2 * int(EDITS * RUN) - 2
+DOCS_AT_ONCE, ITEMS_AT_ONCE = 256, 10_000
 WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 
@@ -70,7 +72,7 @@ def document_counts(documents: DataFrame) -> tuple[np.ndarray, int]:
         total = np.zeros(BUCKETS + 1, dtype=np.int64)
         for pdf in batches:
             for text in pdf["text"]:
-                total[np.unique(buckets(words_of(text)))] += 1
+                total[np.unique(buckets(list(set(words_of(text)))))] += 1
                 total[BUCKETS] += 1
         yield pd.DataFrame({"bucket": np.arange(BUCKETS + 1, dtype=np.int32), "n": total})
 
@@ -95,20 +97,35 @@ def vectors(cuts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(norm, 1e-9)
 
 
-def projected(b: np.ndarray, terms: np.ndarray, squares: np.ndarray) -> np.ndarray:
-    """The windows of hashed words in the latent space, scaled by their length before projection.
-
-    terms: weighted basis rows per bucket; a window is the sum of its words' rows, taken from running sums over the text. The
-    length leaves repeated words apart, which can only raise a cosine."""
-    if len(b) <= WINDOW:
-        starts, ends = np.array([0]), np.array([len(b)])
-    else:
-        starts = np.array([*range(0, len(b) - WINDOW, STEP), len(b) - WINDOW])
-        ends = starts + WINDOW
-    sums = np.zeros((len(b) + 1, terms.shape[1]), dtype=np.float32)
-    np.cumsum(terms[b], axis=0, out=sums[1:])
-    lengths = np.concatenate(([0.0], np.cumsum(squares[b])))
-    return (sums[ends] - sums[starts]) / np.sqrt(np.maximum(lengths[ends] - lengths[starts], 1e-9))[:, None].astype(np.float32)
+def in_parts(cuts: list[np.ndarray], size: int = 1000) -> Iterator[list[np.ndarray]]:
+    """Windows a few at a time: their rows are dense."""
+    return (cuts[k : k + size] for k in range(0, len(cuts), size))
+
+
+def projected(b: np.ndarray, lengths: np.ndarray, terms: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(windows of texts in the latent space, text of each); b: the hashed words of all texts, lengths of them each.
+
+    terms: weighted basis rows per bucket. A window is WINDOW words from every STEP-th on, the last ones of a text fewer: the sum
+    of WINDOW / STEP blocks. Windows are scaled by their length before projection, which leaves repeated words apart; that can
+    only raise a cosine."""
+    blocks = -(-lengths // STEP)
+    width = WINDOW // STEP
+    first = np.cumsum(blocks) - blocks
+    at = np.arange(len(b)) + np.repeat(first * STEP - (np.cumsum(lengths) - lengths), lengths)
+    padded = np.full((int(blocks.sum()) + width) * STEP, BUCKETS, dtype=np.int32)
+    padded[at] = b
+    rows = np.concatenate([terms, np.zeros((1, terms.shape[1]), np.float32)])[padded]
+    sums = rows.reshape(-1, STEP, rows.shape[1]).sum(axis=1)
+    weights = np.append(squares, 0.0)[padded].reshape(-1, STEP).sum(axis=1)
+    owner = np.repeat(np.arange(len(lengths)), blocks)
+    place = np.arange(len(owner)) - first[owner]
+    starts = np.flatnonzero((place == 0) | (place <= blocks[owner] - width))  # a text shorter than a window is one
+    total, weight = sums[starts].copy(), weights[starts].copy()
+    for i in range(1, width):
+        inside = (place[starts] + i < blocks[owner[starts]])
+        total += np.where(inside[:, None], sums[starts + i], 0)
+        weight += np.where(inside, weights[starts + i], 0)
+    return total / np.sqrt(np.maximum(weight, 1e-9))[:, None].astype(np.float32), owner[starts]
 
 
 def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray, seed: int = 7) -> np.ndarray:
@@ -119,10 +136,8 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
     spark = sample.sparkSession
     rng = np.random.default_rng(seed)
     basis = np.linalg.qr(rng.standard_normal((BUCKETS, RANK)))[0].astype(np.float32)
-    fixed = vectors(items, idf)
     n = max(1, sample.count())
-    weight = np.float32(math.sqrt(max(1.0, 8.0 * n / max(1, len(items)))))
-    fixed *= weight
+    weight = max(1.0, 8.0 * n / max(1, len(items)))
     for _ in range(POWER):
         shared = spark.sparkContext.broadcast((basis, idf))
 
@@ -141,7 +156,10 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
 
         parts = sample.mapInPandas(multiply, "row int, v array<float>")
         summed = parts.select("row", F.posexplode("v")).groupBy("row", "pos").agg(F.sum("col").alias("x")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v")).select("row", "v.x")
-        product = fixed.T @ (fixed @ basis)
+        product = np.zeros_like(basis)
+        for part in in_parts(items):
+            fixed = vectors(part, idf)
+            product += np.float32(weight) * (fixed.T @ (fixed @ basis))
         for r in summed.collect():  # at most BUCKETS rows of RANK numbers
             product[r["row"]] += np.asarray(r["x"], dtype=np.float32)
         basis = np.linalg.qr(product)[0].astype(np.float32)
@@ -162,30 +180,34 @@ def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
     for x in answer:
         answers.append(answers[-1] + x)
     # a state is (score, start in item, edits, answers found); of each common word the best without and with the cut
-    best: dict[tuple[int, int], tuple] = {}
+    recent: list[tuple[int, dict[int, tuple]]] = []  # the last common words: place in the document, item place -> states
     ends: dict[int, list] = defaultdict(list)
     top = (0, 0)
     for i, w in enumerate(doc):
-        for j in where.get(w, ()):
+        if w not in where:
+            continue
+        recent = [x for x in recent if x[0] >= i - GAP - 1]
+        here: dict[int, tuple] = {}
+        for j in where[w]:
             hit = answer[j]
             whole, cut = (1, j, 0, hit), None
-            for di in range(1, GAP + 2):
+            for before, states in recent:
+                di = i - before
                 for dj in range(1, GAP + 2):
-                    before = best.get((i - di, j - dj))
-                    if before is None:
+                    state = states.get(j - dj)
+                    if state is None:
                         continue
                     e = max(di, dj) - 1
-                    x = before[0]
+                    x, y = state
                     if x[0] + 1 - 4 * e > whole[0]:
                         whole = (x[0] + 1 - 4 * e, x[1], x[2] + e, x[3] + hit)
-                    x = before[1]
-                    if x is not None and (cut is None or x[0] + 1 - 4 * e > cut[0]):
-                        cut = (x[0] + 1 - 4 * e, x[1], x[2] + e, x[3] + hit)
+                    if y is not None and (cut is None or y[0] + 1 - 4 * e > cut[0]):
+                        cut = (y[0] + 1 - 4 * e, y[1], y[2] + e, y[3] + hit)
             for dj in range(1, GAP + 2):
                 for x, at in ends.get(j - dj, ()):
                     if at < i - GAP - 1 and (cut is None or x[0] + 5 - 4 * dj > cut[0]):
                         cut = (x[0] + 5 - 4 * dj, x[1], x[2] + dj - 1, x[3] + hit)
-            best[(i, j)] = (whole, cut)
+            here[j] = (whole, cut)
             if whole[0] >= 3 and (not ends[j] or whole[0] > ends[j][-1][0][0]):
                 ends[j].append((whole, i))
             for x in (whole, cut):
@@ -193,97 +215,153 @@ def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
                     length = j - x[1] + 1
                     if length > top[0] and x[2] <= EDITS * length and 2 * x[3] >= answers[j + 1] - answers[x[1]]:
                         top = (length, x[2])
+        recent.append((i, here))
     return top
 
 
 class Probe:
-    """What a text must hold for a chain of RUN words of an item to be possible: enough of its words, and of its answers one,
-    unless the item has RUN words in a row without any."""
+    """What a text must hold for a chain of an item to be possible: some RUN words or more in a row of which it holds all but the
+    edits, and at least half of the answers among them."""
 
     def __init__(self, item: list[str]):
         self.words = item
-        marks = [-1, *[j for j, w in enumerate(item) if any(c.isdigit() for c in w)], len(item)]
-        self.answers = {item[j] for j in marks[1:-1]}
-        self.plain = max(b - a - 1 for a, b in zip(marks, marks[1:])) >= RUN
+        answer = np.array([any(c.isdigit() for c in w) for w in item])
+        self.answers = np.flatnonzero(answer)
+        n = len(item)
+        start, end = np.meshgrid(np.arange(n + 1), np.arange(n + 1), indexing="ij")
+        self.start, self.end = (x[end - start >= RUN] for x in (start, end))
+        sums = np.concatenate(([0], np.cumsum(answer)))
+        self.least = np.ceil((1 - EDITS) * (self.end - self.start) - 1e-9)
+        self.least_answers = (sums[self.end] - sums[self.start] + 1) // 2
 
     def possible(self, seen: set[str]) -> bool:
-        if not self.plain and self.answers.isdisjoint(seen):
+        held = np.array([w in seen for w in self.words])
+        sums = np.concatenate(([0], np.cumsum(held)))
+        enough = sums[self.end] - sums[self.start] >= self.least
+        if not enough.any():
             return False
-        held = [w in seen for w in self.words]
-        inside = most = sum(held[:RUN])
-        for j in range(RUN, len(held)):
-            inside += held[j] - held[j - RUN]
-            most = max(most, inside)
-        return most >= RUN * (1 - EDITS) - 1  # some RUN words of the chain hold at least the mean share
-
-
-class WordIndex:
-    """The items' words by position: what Probe.possible says of each item, for all items at once."""
-
-    def __init__(self, probes: dict[int, Probe]):
-        self.items = np.array(sorted(probes))
-        words = [probes[i].words for i in self.items]
-        self.ids = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}))}
-        self.at = np.array([self.ids[w] for ws in words for w in ws], dtype=np.int32)
-        first = np.cumsum([0] + [len(ws) for ws in words])
-        self.starts = np.concatenate([np.arange(a, b - RUN + 1) for a, b in zip(first, first[1:])])
-        self.bounds = np.cumsum([0] + [len(ws) - RUN + 1 for ws in words[:-1]])
-        self.plain = np.array([probes[i].plain for i in self.items])
-        self.answers = [np.array([self.ids[w] for w in probes[i].answers], dtype=np.int32) for i in self.items]
-
-    def possible(self, seen: set[str]) -> list[int]:
-        """Items of which a text with these words may hold a chain."""
-        known = [self.ids[w] for w in seen if w in self.ids]
-        if len(known) < 2:
-            return []
-        held = np.zeros(len(self.ids), dtype=np.int32)
-        held[known] = 1
-        sums = np.zeros(len(self.at) + 1, dtype=np.int32)
-        np.cumsum(held[self.at], out=sums[1:])
-        most = np.maximum.reduceat(sums[self.starts + RUN] - sums[self.starts], self.bounds)
-        return [int(self.items[k]) for k in np.flatnonzero(most >= RUN * (1 - EDITS) - 1) if self.plain[k] or held[self.answers[k]].any()]
-
-
-def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The columns of p8_found: doc_id, item_id of documents (doc_id, text) that hold a passage of an item (item_id, text)."""
-    from ..session import materialize, spread
+        answers = np.zeros(len(held) + 1, dtype=np.int64)
+        answers[self.answers + 1] = held[self.answers]
+        answers = np.cumsum(answers)
+        return bool((answers[self.end] - answers[self.start] >= self.least_answers)[enough].any())
+
+
+class ItemIndex:
+    """The items' words and word pairs: numbers of words, and which items hold a pair of neighbours at how many places."""
+
+    def __init__(self, items: dict[int, list[str]]):
+        self.items = np.array(sorted(items), dtype=np.int64)
+        self.numbers = {w: k for k, w in enumerate(sorted({w for ws in items.values() for w in ws}), 1)}
+        size = len(self.numbers) + 1
+        pairs, owners = [], []
+        for k, i in enumerate(self.items):
+            n = np.array([self.numbers[w] for w in items[i]], dtype=np.int64)
+            pairs.append(n[:-1] * size + n[1:])
+            owners.append(np.full(len(n) - 1, k))
+        keys, owners = np.concatenate(pairs), np.concatenate(owners)
+        both, places = np.unique(np.stack([keys, owners]), axis=1, return_counts=True)
+        self.keys, first = np.unique(both[0], return_index=True)
+        self.bounds = np.append(first, both.shape[1])
+        self.owners, self.places, self.size = both[1], places, size
+        self.codes: dict[str, int] = {}
+
+    def word_codes(self, texts: list[list[str]]) -> np.ndarray:
+        """Of all words of these texts: bucket plus BUCKETS times the number of an item's word."""
+        codes = self.codes
+        if len(codes) > 500_000:
+            codes.clear()
+        for ws in texts:
+            for w in ws:
+                if w not in codes:
+                    codes[w] = zlib.crc32(w.encode()) % BUCKETS + BUCKETS * self.numbers.get(w, 0)
+        return np.array([codes[w] for ws in texts for w in ws], dtype=np.int64)
+
+    def possible(self, numbers: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """Per text the places in self.items of those it shares PAIRS neighbours with: no other can have a chain of RUN words."""
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        beside = (numbers[:-1] > 0) & (numbers[1:] > 0) & (text[:-1] == text[1:])
+        at = np.flatnonzero(beside)
+        keys = numbers[at] * self.size + numbers[at + 1]
+        k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[k] == keys
+        seen = np.unique(np.stack([text[at[hit]], k[hit]]), axis=1)  # each pair once a text
+        counts = self.bounds[seen[1] + 1] - self.bounds[seen[1]]
+        rows = np.repeat(self.bounds[seen[1]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        n_items = len(self.items)
+        cells, where = np.unique(np.repeat(seen[0], counts) * n_items + self.owners[rows], return_inverse=True)
+        shared = np.bincount(where, self.places[rows], minlength=len(cells))
+        enough = cells[shared >= PAIRS]
+        return np.split(enough % n_items, np.searchsorted(enough // n_items, np.arange(1, len(lengths))))
+
+
+def leak_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id, cosine (greatest of any two windows, 0 where below COSINE), covered (item words), edits of every document
+    (doc_id, text) that holds a passage of an item (item_id, text)."""
+    from ..session import spread
 
-    spark = documents.sparkSession
     documents = spread(documents.select("doc_id", "text"))
-    held = sorted((r["item_id"], words_of(r["text"])) for r in items.select("item_id", "text").collect())  # the held-out set
-    held = [(i, w) for i, w in held if len(w) >= RUN]
-    if not held:
-        return documents.select("doc_id", F.lit(0).cast("bigint").alias("item_id")).where("false")
+    texts = items.where("text is not null").select("item_id", "text")
+    blocks = max(1, -(-texts.count() // ITEMS_AT_ONCE))
     counts, total = document_counts(documents)
-    idf = idf_weights(counts, total)
-    cuts = [(i, c) for i, w in held for c in windows(buckets(w))]
-    share = min(1.0, SAMPLE / 10 / max(1, total))  # about ten windows a text
-    sample = documents.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(share * 1_000_003))
+    found = None
+    for k in range(blocks):
+        mine = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        held = {r["item_id"]: words_of(r["text"]) for r in mine.collect()}  # a block of the held-out set
+        held = {i: w for i, w in sorted(held.items()) if len(w) >= RUN}
+        if held:
+            rows = _search(documents, held, idf_weights(counts, total), total)
+            found = rows if found is None else found.unionByName(rows)
+    return found if found is not None else documents.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("item_id", "bigint"), ("cosine", "double"), ("covered", "int"), ("edits", "int"))]).where("false")
+
+
+def _search(documents: DataFrame, held: dict[int, list[str]], idf: np.ndarray, total: int) -> DataFrame:
+    from ..session import hash_share, materialize
+
+    index = ItemIndex(held)
+    cuts = [(k, c) for k, i in enumerate(index.items) for c in windows(buckets(held[i]))]
+    sample = documents.where(hash_share("doc_id") < min(1.0, SAMPLE / 10 / max(1, total))).select("text")  # about ten windows a text
     basis = randomised_svd(materialize(sample.repartition(8), "leak-sample"), [c for _, c in cuts], idf)
-    targets = vectors([c for _, c in cuts], idf) @ basis
+    targets = np.concatenate([vectors(part, idf) @ basis for part in in_parts([c for _, c in cuts])])
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
-    owners = np.array([i for i, _ in cuts])
+    first = np.searchsorted([k for k, _ in cuts], np.arange(len(held)))  # the windows of an item follow each other
     terms = (idf[:, None] * basis).astype(np.float32)
-    shared = spark.sparkContext.broadcast((terms, idf**2, targets, owners, dict(held)))
+    shared = documents.sparkSession.sparkContext.broadcast((terms, idf**2, targets.T.copy(), first, index, held))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows_of, squares, z, own, texts = shared.value
-        probes = {i: Probe(w) for i, w in texts.items()}
-        index = WordIndex(probes)
+        rows_of, squares, z, starts, known, words = shared.value
+        probes = [Probe(words[int(i)]) for i in known.items]
         for pdf in batches:
             rows = []
             for k in range(0, len(pdf), DOCS_AT_ONCE):
                 part = pdf.iloc[k : k + DOCS_AT_ONCE]
-                held = [(doc, w) for doc, w in zip(part["doc_id"], map(words_of, part["text"])) if len(w) >= RUN * (1 - EDITS)]
-                if not held:
+                cut = [(doc, w) for doc, w in zip(part["doc_id"], map(words_of, part["text"])) if len(w) >= RUN * (1 - EDITS)]
+                if not cut:
                     continue
-                found = [projected(buckets(w), rows_of, squares) for _, w in held]
-                first = np.cumsum([0] + [len(f) for f in found[:-1]])
-                near = np.logical_or.reduceat(np.concatenate(found) @ z.T >= COSINE, first)
-                for (doc, w), close in zip(held, near):
+                lengths = np.array([len(w) for _, w in cut])
+                codes = known.word_codes([w for _, w in cut])
+                latent, owner = projected(codes % BUCKETS, lengths, rows_of, squares)
+                far = np.einsum("ij,ij->i", latent, latent) >= COSINE**2  # a shorter vector has no such cosine with any
+                latent, owner = latent[far], owner[far]
+                near: list[dict[int, float]] = [{} for _ in cut]  # retrieved items with their cosine
+                if len(owner):
+                    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+                    cosines = np.maximum.reduceat(np.maximum.reduceat(latent @ z, first, axis=0), starts, axis=1)  # texts x items
+                    for t, j in zip(*np.nonzero(cosines >= COSINE)):
+                        near[owner[first[t]]][int(j)] = float(cosines[t, j])
+                bound = known.possible(codes // BUCKETS, lengths)
+                for (doc, w), retrieved, able in zip(cut, near, bound):
                     seen = set(w)
-                    retrieved = {int(i) for i in np.unique(own[close]) if probes[i].possible(seen)}
-                    rows += [(doc, i) for i in sorted(retrieved.union(index.possible(seen))) if chain(w, texts[i])[0] >= RUN]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id"])
+                    able = able.tolist()
+                    for j in [*(j for j in able if j in retrieved), *(j for j in able if j not in retrieved)]:  # what the space leaves is checked as well
+                        if probes[j].possible(seen):
+                            covered, edits = chain(w, probes[j].words)
+                            if covered >= RUN:
+                                rows.append((doc, int(known.items[j]), retrieved.get(j, 0.0), covered, edits))
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "covered", "edits"])
+
+    return documents.mapInPandas(search, "doc_id bigint, item_id bigint, cosine double, covered int, edits int")
 
-    return documents.select("doc_id", "text").mapInPandas(search, "doc_id bigint, item_id bigint")
+
+def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """The columns of p8_found: doc_id, item_id."""
+    return leak_passages(documents, items).select("doc_id", "item_id")
