@@ -43,7 +43,7 @@ WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?…][\"”“»’)\]]*$")
 #: A passage ends at a blank line or after closing punctuation followed by white space; single line breaks may be wraps.
 SPLIT = re.compile(r"\s*\n\s*\n\s*|(?<=[.!?…])[\"”“»’)\]]*\s+")
-HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
+HYPHEN = re.compile(r"-(?<=[^\W\d_]-)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 #: Two or more capitalised words in a row are a name, which says little of the language.
 NAME = re.compile(r"\b[A-ZÀ-Þ][a-zß-ÿ]+(?:\s+(?:of\s+)?[A-ZÀ-Þ][a-zß-ÿ]+)+\b")
 
@@ -129,22 +129,21 @@ class Profiles:
                 lengths.append(len(words))
             ids, sizes = self.grams_of(np.array(rows, dtype=np.int64))
             if len(ids):
-                owner = np.repeat(np.repeat(np.arange(len(lengths), dtype=np.int64), lengths), sizes)
-                for i, d in self._distances(owner, ids):
+                small = len(lengths) * len(self.ids) < 2**31  # keys that fit are sorted faster
+                base = np.arange(len(lengths), dtype=np.int32 if small else np.int64) * len(self.ids)
+                for i, d in self._distances(np.repeat(np.repeat(base, lengths), sizes) + ids):
                     out[start + i] = d
             start += len(lengths)
         return out
 
-    def _distances(self, owner: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(list, distances) for n-gram ids and the lists in which they stand, in order."""
+    def _distances(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(list, distances) for n-grams in lists, each given as list times the number of n-grams plus its id."""
         n_ids = len(self.ids)
-        keys = owner * n_ids + ids
-        if int(owner[-1] + 1) * n_ids < 2**31:
-            keys = keys.astype(np.int32)  # sorts faster
         keys.sort()
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         freq = np.diff(np.append(first, len(keys)))
-        owner, gram = np.divmod(keys[first], n_ids)
+        owner = keys[first] // n_ids
+        gram = (keys[first] - owner * n_ids).astype(np.intp)
         lists = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         sizes = np.diff(np.append(lists, len(owner)))
         # per list and frequency: twice the mean rank, which is that of all n-grams more frequent and half of the equal ones
@@ -152,7 +151,9 @@ class Profiles:
         cell = np.repeat(np.arange(len(lists)) * number[-1] - 1, sizes) + number[freq]
         equal = np.bincount(cell, minlength=len(lists) * number[-1]).reshape(len(lists), number[-1])
         rank2 = (2 * (sizes[:, None] - np.cumsum(equal, axis=1)) + equal - 1).astype(np.int32).ravel()[cell]
-        sums = [np.add.reduceat(np.abs(rank2 - column[gram]), lists, dtype=np.int64) for column in self.ranks2]
+        longest = int(sizes.max())
+        kind = np.int32 if 2 * longest * max(PROFILE, longest) < 2**31 else np.int64  # sums that fit are added faster
+        sums = [np.add.reduceat(np.abs(rank2 - column[gram]), lists, dtype=kind) for column in self.ranks2]
         yield from zip(owner[lists].tolist(), np.stack(sums, axis=1) / 2)
 
     def distances(self, words: list[str]) -> np.ndarray | None:

@@ -35,7 +35,7 @@ GAP = 3
 PAIRS = RUN - 2 * int(EDITS * RUN) - 2
 DOCS_AT_ONCE, ITEMS_AT_ONCE = 256, 10_000
 WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
-HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
+HYPHEN = re.compile(r"-(?<=[^\W\d_]-)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 
 
 def words_of(text: str | None) -> list[str]:
