@@ -24,6 +24,11 @@ TWO_PART_SUFFIXES = (
     "co.uk org.uk gov.uk ac.uk plc.uk co.jp or.jp ne.jp ac.jp go.jp com.au org.au gov.au edu.au net.au co.in org.in gov.in ac.in net.in "
     "com.cn org.cn gov.cn edu.cn net.cn com.hk org.hk gov.hk com.sg org.sg com.br gov.br co.kr or.kr go.kr co.nz govt.nz org.nz"
 ).split()
+IMAGE_TYPES = {
+    "image/avif": ".avif", "image/gif": ".gif", "image/jpeg": ".jpg", "image/jpg": ".jpg", "image/png": ".png", "image/svg+xml": ".svg", "image/webp": ".webp",
+}
+IMAGE_ENDINGS = (".avif", ".gif", ".jpg", ".jpeg", ".png", ".svg", ".webp")
+EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 READER_PREFIX, ARCHIVE_PREFIX = "https://r.jina.ai/http://", "https://web.archive.org/web/"
 # --- end of fixed values ---
 
@@ -64,8 +69,8 @@ def truncated(c: Column, limit: int = 18000, marker: str = "\n...[truncated]") -
 
 
 def line_key(c: Column) -> Column:
-    """Lower case, runs of non-word characters as one blank (letters of all scripts are word characters)."""
-    return F.trim(F.regexp_replace(F.lower(c), r"(?U)\W+", " "))
+    """Lower case, runs of anything but letters, numbers and underscores of any script as one blank."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_]+", " "))
 
 
 def white_space(c: Column) -> Column:
@@ -87,17 +92,23 @@ def is_boilerplate(line: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """White space normalised, boilerplate lines dropped, short lines kept once, runs of blank lines as one.
 
-    A line is short if its key has at most 80 characters. Of lines with one short key the first stays. Runs inside the JVM as a
-    fold over the lines of each text; the keys seen travel with the fold, so that it takes one pass."""
-    rows = F.transform(lines(white_space(c)), lambda x: F.trim(x))
-    kept = F.filter(rows, lambda x: (x == "") | ~is_boilerplate(x))
-    keyed = F.transform(kept, lambda x: F.struct(x.alias("line"), line_key(x).alias("key")))
-    keys = F.transform(keyed, lambda x: F.when((x["line"] != "") & (F.length(x["key"]) <= 80), x["key"]))
-    # the first line of each short key; blank lines and long keys are always first
-    first = F.filter(F.zip_with(keyed, F.sequence(F.lit(1), F.greatest(F.size(keyed), F.lit(1))), lambda x, i: F.struct(x["line"].alias("line"), x["key"].alias("key"), i.alias("i"))), lambda x: x["line"].isNotNull())
-    once = F.filter(first, lambda x: (x["line"] == "") | (F.length(x["key"]) > 80) | (F.array_position(keys, x["key"]) == x["i"]))
-    text = F.array_join(F.transform(once, lambda x: x["line"]), "\n")
-    return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    A line is short if its key has at most 80 characters. Of lines with one short key the first stays: lines are sorted by key
+    and place, each is compared with the one before it, and what is left is put back in order, so a text of n lines takes
+    n log n steps inside the JVM. Null stays null."""
+    rows = F.transform(lines(white_space(c)), lambda x, i: F.struct(F.regexp_replace(x, EDGE_BLANKS, "").alias("line"), i.alias("i")))
+    kept = F.filter(rows, lambda r: (r["line"] == "") | ~is_boilerplate(r["line"]))
+
+    def keyed(r: Column) -> Column:
+        key = line_key(r["line"])
+        once = (r["line"] == "") | (F.length(key) > 80)  # never compared: a key of its own
+        return F.struct(F.when(once, F.concat(F.lit("\n"), r["i"].cast("string"))).otherwise(key).alias("key"), r["i"].alias("i"), r["line"].alias("line"))
+
+    ordered = F.array_sort(F.transform(kept, keyed))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(ordered, lambda r: r["key"]))
+    paired = F.zip_with(ordered, before, lambda r, k: F.struct(r["i"].alias("i"), r["line"].alias("line"), (~r["key"].eqNullSafe(k)).alias("first")))
+    first = F.array_sort(F.filter(paired, lambda r: r["i"].isNotNull() & r["first"]))
+    text = F.array_join(F.transform(first, lambda r: r["line"]), "\n")
+    return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), EDGE_BLANKS, "")
 
 
 def first_integer(c: Column) -> Column:
@@ -176,6 +187,12 @@ def looks_blocked(status: Column, body: Column) -> Column:
     return F.coalesce(status.isin(*BLOCKED_STATUSES), F.lit(False)) | head.rlike(any_marker)
 
 
+def is_blocked(status: int, body: bytes | None) -> bool:
+    """looks_blocked of an answer on its way in."""
+    head = bytes(body or b"")[:4000].decode("utf-8", "ignore").lower()
+    return status in BLOCKED_STATUSES or any(m in head for m in BLOCKED_MARKERS)
+
+
 def fetch_succeeded(status: Column, body: Column) -> Column:
     return F.coalesce(status.between(200, 399), F.lit(False)) & ~looks_blocked(status, body)
 
@@ -202,6 +219,40 @@ def image_kind(body: Column) -> Column:
     )
 
 
+def _bare_type(content_type: Column) -> Column:
+    return F.lower(F.trim(F.substring_index(F.coalesce(content_type, F.lit("")), ";", 1)))
+
+
+def _head(body: Column) -> Column:
+    """The first characters of a body in lower case, without blanks in front."""
+    return F.lower(F.regexp_replace(F.substring(body, 1, 4096).cast("string"), r"^\s+", ""))
+
+
+def is_error_document(body: Column) -> Column:
+    """A page or JSON text in place of what was asked for."""
+    return F.coalesce(_head(body).rlike(r"^(?:<!doctype|<html|<head|<body|\{|\[)"), F.lit(False))
+
+
+def url_image_suffix(url: Column) -> Column:
+    """The ending of an address's path if images have it, else null."""
+    ending = F.lower(F.regexp_extract(F.regexp_extract(F.coalesce(url, F.lit("")), r"^([^?#]*)", 1), r"(\.[A-Za-z0-9]+)$", 1))
+    return F.when(ending.isin(*IMAGE_ENDINGS), ending)
+
+
+def is_image(body: Column, content_type: Column, url: Column) -> Column:
+    """Whether an answer is an image: no error document, and one by its type, its signature, as svg or by its address."""
+    by_body = image_kind(body).isNotNull() | F.coalesce(F.substring(_head(body), 1, 512).contains("<svg"), F.lit(False))
+    return ~is_error_document(body) & (_bare_type(content_type).startswith("image/") | by_body | url_image_suffix(url).isNotNull())
+
+
+def image_suffix(body: Column, content_type: Column, url: Column) -> Column:
+    """Suffix of an image by signature, svg text, type, address; .bin if none tells."""
+    by_type = F.lit(None).cast("string")
+    for kind, suffix in IMAGE_TYPES.items():
+        by_type = F.when(_bare_type(content_type) == kind, suffix).otherwise(by_type)
+    return F.coalesce(image_kind(body), by_type, url_image_suffix(url), F.lit(".bin"))
+
+
 def filled_template(template: str, **values: Column) -> Column:
     """A template with its {name} parts replaced; empty and null values leave nothing."""
     parts = [F.coalesce(values[x], F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(re.split(r"\{(\w+)\}", template))]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def count_values(values: DataFrame, column: str = "label", denominator: int | Column | None = None) -> DataFrame:
     """label, count, share; the share is of all values unless a denominator is given, and 0 where that is 0.
@@ -31,11 +33,12 @@ def top_values(values: DataFrame, limit: int = 10) -> DataFrame:
 def matrix_cells(records: DataFrame, row: str, column_field: str, columns: DataFrame) -> DataFrame:
     """label, column, count: records of each row label that hold the column label, once per record however often they repeat it.
 
-    columns: label; a short list. All row labels appear with all columns."""
+    columns: label; a short list, put beside every row label as one array. All row labels appear with all columns."""
     rows = records.where(F.col(row).isNotNull())
     tags = rows.select(F.col(row).alias("label"), F.explode(F.array_distinct(column_field)).alias("column"))
     hits = tags.groupBy("label", "column").agg(F.count("*").alias("count"))
-    spine = rows.select(F.col(row).alias("label")).distinct().select("label", F.lit(1).alias("_one")).join(columns.select(F.col("label").alias("column"), F.lit(1).alias("_one")), "_one").drop("_one")
+    wanted = F.broadcast(columns.agg(F.collect_set("label").alias("_columns")))  # one row
+    spine = rows.select(F.col(row).alias("label")).distinct().join(wanted).select("label", F.explode("_columns").alias("column"))
     return spine.join(hits, ["label", "column"], "left").select("label", "column", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
@@ -52,6 +55,27 @@ def matrix_totals(cells: DataFrame) -> DataFrame:
     return cells.groupBy("label").agg(F.sum("count").alias("total"))
 
 
+def locale_order(c: Column) -> Column:
+    """A key to sort labels by as a reader would: letters before their accents and case, lower case first."""
+    return F.collate(c, "UNICODE")
+
+
+def ranked(rows: DataFrame, key: str, order: list[str], name: str = "rank") -> DataFrame:
+    """rows with their number, from 1, within each key by `order`, however many rows a key has.
+
+    Rows are cut into ranges of key and order, numbered within each, and each part of a key starts after the parts before it.
+    Rows equal in key and order are numbered in any order; null keys are one key."""
+    part = F.spark_partition_id().alias("_part")
+    cut = materialize(rows.repartitionByRange(key, *order).select(*rows.columns, part), "ranges")
+    within = Window.partitionBy("_part", key)
+    sizes = cut.groupBy("_part", F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # parts of a key
+    starts = sizes.select(F.col("_part").alias("_p"), "_key", before.alias("_before"))
+    numbered = cut.withColumn("_i", F.row_number().over(within.orderBy(*order)))
+    out = numbered.join(starts, (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
+    return out.select(*rows.columns, (F.col("_before") + F.col("_i")).alias(name))
+
+
 def search_text() -> Column:
     """Lower-case text that a free search looks in; absent fields add nothing."""
     lists = [F.array_join(f, " ") for f in ("products_used", "technical_area", "use_case_category")]

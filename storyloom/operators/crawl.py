@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import text as T
+from ..session import spread
 
 #: Order in which request profiles are tried (fixed value).
 PROFILES = ("bingbot", "googlebot", "desktop-chrome", "desktop-firefox", "desktop-safari", "mobile-safari")
@@ -14,11 +20,18 @@ PROFILES = ("bingbot", "googlebot", "desktop-chrome", "desktop-firefox", "deskto
 def filter_urls(urls: DataFrame, sources: DataFrame) -> DataFrame:
     """Distinct urls (vendor, url, ...) that match any include pattern of their vendor, or if it has none, and no exclude pattern.
 
-    sources: vendor, url_patterns, exclude_patterns; a short configuration. Patterns are looked for anywhere in the url."""
-    joined = urls.join(F.broadcast(sources.select("vendor", "url_patterns", "exclude_patterns")), "vendor")  # a configuration file
-    hit = lambda patterns: F.exists(patterns, lambda p: F.regexp_like(F.col("url"), p))
-    wanted = (F.coalesce(F.size("url_patterns"), F.lit(0)) <= 0) | hit("url_patterns")
-    return joined.where(wanted & ~F.coalesce(hit("exclude_patterns"), F.lit(False))).drop("url_patterns", "exclude_patterns").dropDuplicates(["vendor", "url"])
+    sources: vendor, url_patterns, exclude_patterns; a configuration of a few rows, whose patterns become part of the plan, so that
+    each is compiled once. Patterns are looked for anywhere in the url; vendors that are not configured give nothing."""
+    hit = lambda patterns: F.col("url").rlike("|".join(f"(?:{p})" for p in patterns))
+    wanted = F.lit(False)
+    for s in sources.select("vendor", "url_patterns", "exclude_patterns").collect():  # a configuration file
+        mine = F.col("vendor") == s["vendor"]
+        if s["url_patterns"]:
+            mine = mine & hit(s["url_patterns"])
+        if s["exclude_patterns"]:
+            mine = mine & ~hit(s["exclude_patterns"])
+        wanted = wanted | mine
+    return urls.where(wanted).dropDuplicates(["vendor", "url"])
 
 
 def new_urls(found: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -78,6 +91,49 @@ def extract_queue(latest: DataFrame, lastmods: DataFrame, extracted: DataFrame)
     return rows.join(lastmods.select("url", "lastmod"), "url", "left")
 
 
+#: The instruction that a bundle's prompt puts around a page (fixed value).
+PROMPT = """You are an extraction agent. Follow the SKILL below exactly and return a single strict JSON object — no markdown fences, no prose.
+
+=== SKILL.md ===
+{skill}
+
+=== TAXONOMY (taxonomy.json) ===
+{taxonomy}
+
+=== SOURCE URL ===
+{source_url}
+
+=== PAGE TITLE ===
+{title}
+
+=== PAGE TEXT ===
+{body}
+
+Return one JSON object matching the schema in SKILL.md. No other output.
+"""
+TEXT_LIMIT = 18_000
+
+
+def full_bundles(queue: DataFrame, content: DataFrame, skill: str, taxonomy: str, least: int = 8, backgrounds: bool = True, embedded: bool = False, done: DataFrame | None = None) -> DataFrame:
+    """The thirteen fields of an extraction bundle: vendor, source_url, sha256, title, raw_path, content_type, retrieval_source,
+    profile, extraction_method, related_images, published_date, prompt, created_at; one per vendor and digest.
+
+    queue: extract_queue with all columns of the manifest; content: raw_path, body. Attempts without stored content give none.
+    done: vendor, sha256 of bundles that are there already and are skipped. One pass over a page gives its text and images."""
+    picked = bundle(queue).select("vendor", "url", "sha256", "raw_path").join(queue.drop("vendor", "sha256", "raw_path"), "url")
+    if done is not None:
+        picked = picked.join(done.select("vendor", "sha256"), ["vendor", "sha256"], "left_anti")
+    rows = spread(picked.join(content.select("raw_path", "body"), "raw_path"))
+    text = H.page_text(F.col("body"), F.col("content_type"))
+    found = H.related_images(F.col("body"), F.col("content_type"), F.coalesce(F.nullif("final_url", F.lit("")), "url"), least, backgrounds, embedded)
+    parsed = rows.withColumns({"_text": text, "related_images": found})
+    prompt = T.filled_template(PROMPT, skill=F.lit(skill.strip()), taxonomy=F.lit(taxonomy.strip()), source_url=F.col("url"), title=T.titled(F.col("_text.title")), body=T.truncated(F.col("_text.text"), TEXT_LIMIT))
+    return parsed.select(
+        "vendor", F.col("url").alias("source_url"), "sha256", "_text.title", "raw_path", "content_type", "retrieval_source", "profile", F.col("_text.method").alias("extraction_method"),
+        "related_images", F.col("lastmod").alias("published_date"), prompt.alias("prompt"), T.utc_now().alias("created_at"),
+    )
+
+
 def bundle(queue: DataFrame) -> DataFrame:
     """The columns of an extraction bundle without its text: one per vendor and digest, the first url by alphabet."""
     w = Window.partitionBy("vendor", "sha256").orderBy("url")
@@ -136,9 +192,37 @@ def probe(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("url").agg(first.alias("s")).select(T.host(F.col("url")).alias("host"), "url", "s.strategy", "s.kind")
 
 
-def fetch_with(urls: DataFrame, transport, delay_seconds: float = 1.0, partitions: int = 8) -> DataFrame:
-    """url, status, body, content_type, error of fetching with a transport (url -> (status, bytes, content type)), one host
-    per task at a time with a pause between its requests. The transport is given by the caller; tests use a recorded one."""
+FETCHED = "url string, status int, body binary, content_type string, sha256 string, from_cache boolean, final_url string, retrieval_source string, profile string, error string"
+
+
+def tried(url: str, attempts: list, transport, wait=lambda url: None) -> tuple:
+    """The row of FETCHED that trying a url's attempts in order ends with; transport: (url, profile) -> (status, bytes, content
+    type, final url). Blocked answers and errors of the transport lead to the next attempt, other failures end it."""
+    failed = "RuntimeError: nothing to try"
+    for a in attempts:
+        wait(a["url"])
+        try:
+            status, body, kind, final = transport(a["url"], a["profile"])
+        except Exception as e:  # noqa: BLE001 - an attempt that fails leads to the next
+            failed = f"{type(e).__name__}: {e}"
+            continue
+        blocked = T.is_blocked(status, body)
+        if 200 <= status < 400 and not blocked:
+            return (url, status, body, kind, hashlib.sha256(body).hexdigest(), False, final or a["url"], a["source"], a["profile"], None)
+        if blocked:
+            failed = f"PermissionError: blocked response while fetching {url} via {a['source']}/{a['profile']}: status {status}"
+        else:
+            failed = f"HTTPError: HTTP Error {status}: HTTP status {status}"
+            if status >= 400:
+                break
+    return (url, 0, None, None, None, False, None, None, None, failed)
+
+
+def fetch_with(planned: DataFrame, transport, delay_seconds: float = 1.0, partitions: int | None = None) -> DataFrame:
+    """The columns of FETCHED, one row per url, of trying each url's plan (url, attempts: see attempt_plan) with a transport.
+
+    A host's urls are fetched by one task with a pause between requests to one host: being polite to a host is what bounds it.
+    The transport is given by the caller; tests use a recorded one."""
 
     def run(batches):
         import time
@@ -146,21 +230,52 @@ def fetch_with(urls: DataFrame, transport, delay_seconds: float = 1.0, partition
         import pandas as pd
 
         last: dict[str, float] = {}
+
+        def wait(url: str) -> None:
+            host = urlsplit(url).netloc
+            left = last.get(host, -1e9) + delay_seconds - time.monotonic()
+            if left > 0:
+                time.sleep(left)
+            last[host] = time.monotonic()
+
         for pdf in batches:
-            rows = []
-            for url, h in zip(pdf["url"], pdf["host"]):
-                wait = last.get(h, -1e9) + delay_seconds - time.monotonic()
-                if wait > 0:
-                    time.sleep(wait)
-                last[h] = time.monotonic()
-                try:
-                    rows.append((url, *transport(url), None))
-                except Exception as e:  # noqa: BLE001 - an attempt that fails is a row, not the end of the job
-                    rows.append((url, 0, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["url", "status", "body", "content_type", "error"])
-
-    spread = urls.select("url", T.host(F.col("url")).alias("host")).distinct().repartition(partitions, "host")
-    return spread.mapInPandas(run, "url string, status int, body binary, content_type string, error string")
+            rows = [tried(url, attempts, transport, wait) for url, attempts in zip(pdf["url"], pdf["attempts"])]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in FETCHED.split(", ")])
+
+    hosted = planned.select("url", "attempts", T.host(F.col("url")).alias("host")).dropDuplicates(["url"])
+    return (hosted.repartition(partitions, "host") if partitions else hosted.repartition("host")).mapInPandas(run, FETCHED)
+
+
+def manifest_rows(queue: DataFrame, fetched: DataFrame, root: str, now: Column | None = None) -> DataFrame:
+    """Manifest rows of a fetch: the queue's vendor and url with what came of it; a success with an empty body is a failure.
+
+    Content is named by its digest below root; a failed attempt has status 0, its error and no content."""
+    rows = queue.select("vendor", "url").join(fetched, "url")
+    ok = F.col("error").isNull() & (F.coalesce(F.length("body"), F.lit(0)) > 0)
+    path = F.concat(F.lit(root.rstrip("/") + "/"), T.slugify(F.col("vendor")), F.lit("/"), F.col("sha256"), T.raw_suffix(F.col("content_type")))
+    kept = {c: F.when(ok, F.col(c)) for c in ("sha256", "content_type", "final_url", "retrieval_source", "profile")}
+    return rows.select(
+        "vendor", "url", F.when(ok, path).alias("raw_path"), F.when(ok, F.col("status")).otherwise(0).alias("status"), kept["sha256"].alias("sha256"), kept["content_type"].alias("content_type"),
+        (T.utc_now() if now is None else now).alias("fetched_at"), F.col("from_cache"), F.when(~ok, F.coalesce("error", F.lit("ValueError: empty response body"))).alias("error"),
+        *[kept[c].alias(c) for c in ("final_url", "retrieval_source", "profile")],
+    )
+
+
+def caching(transport, read, write):
+    """A transport (url -> (status, bytes, content type)) that answers from a cache where it can: read(key) gives bytes or None,
+    write(key, bytes) keeps them; key: SHA-256 of the url. Only answers of the origin are kept, not those of a reader or archive."""
+
+    def get(url: str) -> tuple:
+        key = hashlib.sha256(url.encode()).hexdigest()
+        body = read(key)
+        if body is not None:
+            return 200, body, "application/octet-stream"
+        status, body, kind, *source = transport(url)
+        if 200 <= status < 400 and not T.is_blocked(status, body) and (source or ["origin"])[0] == "origin":
+            write(key, body)
+        return status, body, kind
+
+    return get
 
 
 def cached(urls: DataFrame, cache: DataFrame) -> DataFrame:
@@ -196,6 +311,37 @@ def walk_sitemaps(roots: list[str], transport, wanted=lambda url: True, most: in
     return found if enough is None else found[:enough]
 
 
+def discovered(sources: list, known: DataFrame, transport, most: int = 20, limit: int | None = None, sitemaps: bool = True, index_pages: bool = True) -> DataFrame:
+    """New ledger rows (vendor, url, discovered_at, source, lastmod) of walking each source's sitemaps and index pages.
+
+    sources: rows of read_sources. Pages are filtered by the source's patterns as they are found; those of sitemaps come before
+    links of index pages, each url counts once. Urls that the ledger (known) has are left out, then the newest up to limit stay
+    per vendor. A site's pages are listed on the driver: one site's index, not a data set."""
+    spark = known.sparkSession
+    rows = []
+    for at, s in enumerate(sources):
+        include, exclude = ([re.compile(p) for p in s[c] or ()] for c in ("url_patterns", "exclude_patterns"))
+        wanted = lambda u: (not include or any(p.search(u) for p in include)) and not any(p.search(u) for p in exclude)  # noqa: B023, E731
+        found: dict[str, tuple] = {}
+        for root in (s["sitemaps"] or ()) if sitemaps else ():
+            for url, lastmod in walk_sitemaps([root], transport, wanted, most, limit):
+                found.setdefault(url, ("sitemap", lastmod))
+            if limit is not None and len(found) >= limit:
+                break
+        for page in (s["index_pages"] or ()) if index_pages else ():
+            try:
+                body = transport(page)[1]
+            except Exception:  # noqa: BLE001 - an index that can't be had is passed over
+                continue
+            for url in H.links(H.decode(body, None), page):
+                if wanted(url):
+                    found.setdefault(url, ("index", None))
+        rows += [(s["vendor"], url, kind, lastmod, at) for url, (kind, lastmod) in found.items()]
+    all_ = spark.createDataFrame(rows, "vendor string, url string, source string, lastmod string, at int")
+    first = all_.groupBy("url").agg(F.min_by(F.struct("vendor", "source", "lastmod"), "at").alias("r")).select("url", "r.*")  # the first source that lists it
+    return discovery_batch(first, known, limit).select("vendor", "url", T.utc_now().alias("discovered_at"), "source", "lastmod")
+
+
 def checked_limits(assets: int, timeout_seconds: float, least_score: int) -> tuple[int, float, int]:
     """The limits of an extraction as given, or a ValueError: assets from 0, a positive timeout, a score from 1."""
     if assets < 0 or timeout_seconds <= 0 or least_score < 1:

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import filled, truthy
 
 TEXT_FIELDS = "id slug vendor customer_name industry region company_size business_problem solution_summary business_outcome source_url published_date".split()
 LIST_FIELDS = "products_used technical_area use_case_category outcome_category metrics architecture_clues evidence_quotes".split()
-CHILD_FIELDS = ["products_used", "technical_area", "use_case_category", "outcome_category", "metrics", "architecture_clues", "integration_points", "evidence_quotes"]
+#: List fields and the kind under which their values stand in the child table (fixed values).
+CHILD_KINDS = {
+    "products_used": "product", "technical_area": "technical_area", "use_case_category": "use_case_category", "outcome_category": "outcome_category",
+    "metrics": "metric", "architecture_clues": "architecture_clue", "evidence_quotes": "evidence_quote", "integration_points": "integration_point",
+}
+CHILD_FIELDS = list(CHILD_KINDS)
 RECORD_DDL = (
     "id string, slug string, vendor string, customer_name string, industry string, region string, company_size string, business_problem string, solution_summary string, "
     "products_used array<string>, solution_components array<struct<name:string,role:string,layer:string>>, data_flow string, integration_points array<string>, "
@@ -86,6 +92,27 @@ def last_by_key(rows: DataFrame, key: str, order: str, position: str | None = No
     return out.withColumnRenamed("_first", position) if position else out.drop("_first")
 
 
+def merge_counts(samples: DataFrame, records: DataFrame, key: str = "id") -> DataFrame:
+    """One row: samples and extracted rows with a key, repeated ones too, and total different keys."""
+    both = samples.select(key, F.lit(1).alias("s"), F.lit(0).alias("r")).unionByName(records.select(key, F.lit(0).alias("s"), F.lit(1).alias("r"))).where(F.coalesce(key, F.lit("")) != "")
+    per_key = both.groupBy(key).agg(F.sum("s").alias("s"), F.sum("r").alias("r"))
+    return per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("s", "samples"), ("r", "extracted"))], F.count("*").alias("total"))
+
+
+def sorted_json(records: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """A record as JSON text with its keys in order at every level; nulls are written, non-ASCII characters stay."""
+
+    def ordered(kind: T.DataType, c: Column) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*[ordered(kind[n].dataType, c[n]).alias(n) for n in sorted(kind.names)]))
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return F.transform(c, lambda x: ordered(kind.elementType, x))
+        return c
+
+    names = sorted(set(records.columns) - set(but))
+    return F.to_json(F.struct(*[ordered(records.schema[n].dataType, F.col(n)).alias(n) for n in names]), {"ignoreNullFields": "false"})
+
+
 def merge_records(samples: DataFrame, records: DataFrame, key: str = "id") -> DataFrame:
     """Union by key in which records win; a side has one row per key. A sample keeps its place by its own columns."""
     return samples.join(records.select(key), key, "left_anti").unionByName(records, allowMissingColumns=True)
@@ -98,7 +125,7 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame
 
 def child_rows(records: DataFrame) -> DataFrame:
     """case_study_id, kind, value: one row per list item; repeats stay, null lists and items give none."""
-    wide = [F.transform(F.filter(F.coalesce(f, F.array().cast("array<string>")), lambda v: v.isNotNull()), _pair(f)) for f in CHILD_FIELDS]
+    wide = [F.transform(F.filter(F.coalesce(f, F.array().cast("array<string>")), lambda v: v.isNotNull()), _pair(kind)) for f, kind in CHILD_KINDS.items()]
     return records.select(F.col("id").alias("case_study_id"), F.inline(F.concat(*wide)))
 
 
@@ -114,7 +141,8 @@ def replace_children(stored: DataFrame, records: DataFrame) -> DataFrame:
 
 def restore_lists(parents: DataFrame, children: DataFrame) -> DataFrame:
     """Parents with every list rebuilt from the child table, sorted by value; absent lists become empty."""
-    lists = children.groupBy("case_study_id").pivot("kind", CHILD_FIELDS).agg(F.sort_array(F.collect_list("value")))
+    lists = children.groupBy("case_study_id").pivot("kind", list(CHILD_KINDS.values())).agg(F.sort_array(F.collect_list("value")))
+    lists = lists.select("case_study_id", *[F.col(kind).alias(f) for f, kind in CHILD_KINDS.items()])
     out = parents.drop(*CHILD_FIELDS).join(lists.withColumnRenamed("case_study_id", "id"), "id", "left")
     return out.withColumns({f: F.coalesce(f, F.array().cast("array<string>")) for f in CHILD_FIELDS})
 
@@ -133,8 +161,3 @@ def components_by_layer(records: DataFrame, layers: DataFrame) -> DataFrame:
     grouped = items.groupBy("id", layer.alias("layer")).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col("c.name").alias("name")))), lambda x: x["name"]).alias("components"))
     known = layers.select(F.col("value").alias("layer"), F.col("ordinal").alias("layer_order"))
     return grouped.join(known, "layer", "left").select("id", "layer", F.coalesce("layer_order", F.lit(2**31 - 1)).alias("layer_order"), "components")
-
-
-def first_by_key(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import text as T
 from ..operators import crawl as C
+from ..operators.analytics import ranked
+from ..operators.records import last_by_key
 from ..session import spread, table
 from .registry import query
 
@@ -214,36 +215,68 @@ def crawl_all_urls(spark, d):
 @query("crawl_attempt_numbers", "select url, fetched_at, row_number() over (partition by url order by fetched_at) attempt from (select distinct url, fetched_at from fetch_manifest where status = 0)")
 def crawl_attempt_numbers(spark, d):
     failed = fm(spark, d).where("status = 0").select("url", "fetched_at").distinct()
-    return failed.withColumn("attempt", F.row_number().over(Window.partitionBy("url").orderBy("fetched_at")))
+    return ranked(failed, "url", ["fetched_at"], "attempt")
+
+
+@query("crawl_first_places", "select url, nullif(arg_max(coalesce(lastmod, ''), discovered_at || coalesce(lastmod, '')), '') lastmod, min(discovered_at || coalesce(lastmod, '')) place from discovered_urls where url is not null group by url")
+def crawl_first_places(spark, d):
+    rows = du(spark, d).select("url", F.coalesce("lastmod", F.lit("")).alias("lastmod"), F.concat("discovered_at", F.coalesce("lastmod", F.lit(""))).alias("at"))
+    return last_by_key(rows, "url", "at", "place").select("url", F.nullif("lastmod", F.lit("")).alias("lastmod"), "place")
 
 
 def _base():
     return F.concat(F.lit("https://"), F.lower(F.regexp_replace("vendor", " ", "")), F.lit(".example/"))
 
 
+def pages(spark, d):
+    return spread(table(spark, d, "raw_pages"))
+
+
 @query("page_texts")
 def page_texts(spark, d):
-    return spread(table(spark, d, "raw_pages")).select("raw_path", H.page_text("body", "content_type").alias("t")).select("raw_path", "t.title", "t.text", "t.method")
+    """Read as a tree; the rules are checked on page_tree_fixtures."""
+    return pages(spark, d).select("raw_path", H.page_text(F.col("body"), F.col("content_type")).alias("t")).select("raw_path", "t.title", "t.text", "t.method")
+
+
+@query("page_texts_by_tags")
+def page_texts_by_tags(spark, d):
+    """Read by tags alone; the rules are checked on page_tag_fixtures."""
+    return pages(spark, d).select("raw_path", H.page_text(F.col("body"), F.col("content_type"), by_tree=False).alias("t")).select("raw_path", "t.title", "t.text", "t.method")
+
 
+LINKS = """with a as (select raw_path, 'https://' || replace(lower(vendor), ' ', '') || '.example' site, unnest(regexp_extract_all(body, '(?i)<a\\s[^>]*?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>]+)', 1)) h,
+  generate_subscripts(regexp_extract_all(body, '(?i)<a\\s[^>]*?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>]+)', 1), 1) - 1 as position from raw_pages),
+b as (select raw_path, site, position::int as position, trim(h, chr(34) || chr(39)) h from a where trim(h, chr(34) || chr(39)) <> '')
+select raw_path, position, case when h = '#' then site || '/' when starts_with(h, '/') then site || h when contains(h, '://') then h else site || '/' || h end url from b"""
 
-@query("page_links")
+
+@query("page_links", LINKS)
 def page_links(spark, d):
-    return spread(table(spark, d, "raw_pages")).select("raw_path", F.posexplode(H.page_links("body", _base())).alias("position", "url"))
+    return pages(spark, d).select("raw_path", F.posexplode(H.page_links("body", _base())).alias("position", "url"))
 
 
 @query("page_images")
 def page_images(spark, d):
-    return spread(table(spark, d, "raw_pages")).select("raw_path", F.explode(H.page_images("body", "content_type", _base())).alias("image")).select("raw_path", "image.*")
+    return pages(spark, d).select("raw_path", F.explode(H.page_images("body", "content_type", _base())).alias("image")).select("raw_path", "image.*")
+
+
+CLEAN_LINES = """with l as (select raw_path, unnest(string_split_regex(body, '\r\n|[\n\r\x0B\f\x1c\x1d\x1e]')) line, generate_subscripts(string_split_regex(body, '\r\n|[\n\r\x0B\f\x1c\x1d\x1e]'), 1) i from raw_pages),
+t as (select raw_path, i, trim(regexp_replace(line, '[ \\t]+', ' ', 'g')) line from l),
+k as (select *, trim(regexp_replace(lower(line), '[^\\p{L}\\p{N}_]+', ' ', 'g')) key from t where line <> '' and not regexp_matches(line, '(?i)""" + "|".join(f"(?:{p})" for p in T.BOILERPLATE).replace("'", "''") + """')),
+kept as (select *, row_number() over (partition by raw_path, case when length(key) <= 80 then key else i::varchar || chr(10) end order by i) n from k)
+select r.raw_path, coalesce(c.lines, 0) as lines, coalesce(c.chars, 0) chars from raw_pages r left join (select raw_path, count(*) as lines, sum(length(line))::bigint chars from kept where n = 1 group by raw_path) c using (raw_path)"""
 
 
-@query("page_clean_lengths")
+@query("page_clean_lengths", CLEAN_LINES)
 def page_clean_lengths(spark, d):
-    return table(spark, d, "raw_pages").where(F.col("content_type").startswith("text/plain")).select("raw_path", F.length(T.clean_text(F.col("body"))).cast("bigint").alias("chars"))
+    """Lines and their characters that clean_text leaves of every stored body, tags and all."""
+    lines = F.filter(F.split(T.clean_text(F.col("body")), "\n"), lambda x: x != "")
+    return table(spark, d, "raw_pages").select("raw_path", F.size(lines).cast("bigint").alias("lines"), F.length(F.array_join(lines, "")).cast("bigint").alias("chars"))
 
 
-@query("page_plain_text", "select raw_path, length(regexp_replace(regexp_replace(regexp_replace(body, '[ \\t\\f\\x0B]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')) chars from raw_pages where starts_with(content_type, 'text/plain')")
+@query("page_plain_text", "select raw_path, length(regexp_replace(regexp_replace(regexp_replace(body, '[ \\t\\f\\x0B]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')) chars from raw_pages")
 def page_plain_text(spark, d):
-    return table(spark, d, "raw_pages").where(F.col("content_type").startswith("text/plain")).select("raw_path", F.length(T.white_space(F.col("body"))).cast("bigint").alias("chars"))
+    return table(spark, d, "raw_pages").select("raw_path", F.length(T.white_space(F.col("body"))).cast("bigint").alias("chars"))
 
 
 @query("page_boilerplate_lines", "select raw_path, count(*) n from (select raw_path, trim(unnest(string_split(body, chr(10)))) line from raw_pages) where regexp_matches(line, '(?i)" + "|".join(f"(?:{p})" for p in T.BOILERPLATE).replace("'", "''") + "') group by raw_path")
@@ -257,9 +290,9 @@ def page_headlines(spark, d):
     return table(spark, d, "raw_pages").where(F.col("body").contains("<title>")).select("raw_path", F.trim(F.regexp_extract("body", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
-@query("page_prompts", "select raw_path, 'Page ' || raw_path || chr(10) || 'Title ' || coalesce(nullif(vendor, ''), '(no title)') || chr(10) || case when length(body) > 1500 then substr(body, 1, 1500) || chr(10) || '...[truncated]' else body end prompt from raw_pages")
+@query("page_prompts", "select raw_path, 'Page ' || raw_path || chr(10) || 'Title ' || coalesce(nullif(vendor, ''), '(no title)') || chr(10) || case when length(body) > 18000 then substr(body, 1, 18000) || chr(10) || '...[truncated]' else body end prompt from raw_pages")
 def page_prompts(spark, d):
-    text = T.filled_template("Page {path}\nTitle {title}\n{body}", path=F.col("raw_path"), title=T.titled(F.col("vendor")), body=T.truncated(F.col("body"), 1500))
+    text = T.filled_template("Page {path}\nTitle {title}\n{body}", path=F.col("raw_path"), title=T.titled(F.col("vendor")), body=T.truncated(F.col("body")))
     return table(spark, d, "raw_pages").select("raw_path", text.alias("prompt"))
 
 
@@ -274,11 +307,24 @@ def rec_json(spark, d):
     return table(spark, d, "case_studies").where("products_used is not null").select("id", F.to_json("products_used").alias("products"))
 
 
-@query("crawl_cached", "select url, case when k % 2 = 0 then 200 else 0 end status, k % 2 = 0 from_cache from (select distinct url, length(url) k from discovered_urls where url is not null)")
+@query("crawl_cached", f"""with c as (select m.url, r.body from {LATEST} m join raw_pages r using (raw_path) where {DONE})
+select u.url, case when c.body is not null then 200 else 0 end status, c.body is not null from_cache, coalesce(length(c.body), 0) chars from (select distinct url from discovered_urls where url is not null) u left join c using (url)""")
 def crawl_cached(spark, d):
+    """The cache holds the page of each url whose last attempt is done, under the digest of the url."""
     urls = du(spark, d).where("url is not null").select("url").distinct()
-    cache = urls.where("length(url) % 2 = 0").select(F.sha2("url", 256).alias("key"), F.lit(b"x").alias("body"))
-    return C.cached(urls, cache).select("url", F.coalesce("status", F.lit(0)).alias("status"), "from_cache")
+    held = latest(spark, d).where(C.is_done()).select("url", "raw_path").join(table(spark, d, "raw_pages").select("raw_path", "body"), "raw_path")
+    out = C.cached(urls, held.select(F.sha2("url", 256).alias("key"), "body"))
+    return out.select("url", F.coalesce("status", F.lit(0)).alias("status"), "from_cache", F.coalesce(F.length("body"), F.lit(0)).cast("bigint").alias("chars"))
+
+
+@query("crawl_bundle_prompts", f"""select vendor, sha256, url source_url, raw_path, content_type, retrieval_source, profile, lastmod published_date, 'html-beautifulsoup' extraction_method
+from (select e.url, m.vendor, m.sha256, e.lastmod, m.raw_path, m.content_type, m.retrieval_source, m.profile from ({EXTRACT}) e join {LATEST} m using (url))
+join (select raw_path, body from raw_pages) using (raw_path) qualify row_number() over (partition by vendor, sha256 order by url) = 1""".replace("'html-beautifulsoup' extraction_method", "case when regexp_matches(lower(content_type), 'html|xml') or regexp_matches(lower(substr(body, 1, 2048)), '<html|<!doctype html|<article|<main|<body') then 'html-beautifulsoup' else 'text' end extraction_method"))
+def crawl_bundle_prompts(spark, d):
+    """Full bundles; texts, images and prompts are checked on fixtures."""
+    queue = C.extract_queue(latest(spark, d), lastmods(spark, d), table(spark, d, "case_studies").select("source_url"))
+    out = C.full_bundles(queue, table(spark, d, "raw_pages"), "skill", "taxonomy")
+    return out.select("vendor", "sha256", "source_url", "raw_path", "content_type", "retrieval_source", "profile", "published_date", "extraction_method")
 
 
 @query("crawl_listings_per_day", "select cast(try_cast(discovered_at as timestamptz) at time zone 'UTC' as date)::varchar \"day\", vendor, count(*) listings from discovered_urls where try_cast(discovered_at as timestamptz) is not null group by 1, 2")

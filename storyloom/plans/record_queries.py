@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import analytics as A
 from ..operators import records as R
-from ..session import table
+from ..session import shared_dir, table
 from .registry import query
 
 
@@ -194,7 +196,7 @@ def rec_upsert(spark, d):
     return R.upsert(stored, incoming).select("id", "vendor", "origin")
 
 
-@query("rec_child_rows", " union all ".join(f"select id case_study_id, '{f}' kind, value from (select id, unnest({f}) as value from {ONE}) where value is not null" for f in R.CHILD_FIELDS))
+@query("rec_child_rows", " union all ".join(f"select id case_study_id, '{kind}' kind, value from (select id, unnest({f}) as value from {ONE}) where value is not null" for f, kind in R.CHILD_KINDS.items()))
 def rec_child_rows(spark, d):
     return R.child_rows(one_each(cs(spark, d)))
 
@@ -206,9 +208,43 @@ def rec_restored_lists(spark, d):
     return out.select("id", *[F.array_join(f, "|").alias(f) for f in R.CHILD_FIELDS])
 
 
-@query("rec_duplicate_slugs", "select slug, count(distinct id) ids from case_studies group by slug having count(distinct id) > 1")
+SLUG = "regexp_replace(regexp_replace(lower(customer_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+@query("rec_duplicate_slugs", f"select coalesce(nullif({SLUG}, ''), 'untitled') slug, count(distinct id) ids from case_studies where customer_name is not null group by 1 having count(distinct id) > 1")
 def rec_duplicate_slugs(spark, d):
-    return R.duplicate_slugs(cs(spark, d))
+    """Slugs as they would be made of customer names: those a store would refuse."""
+    return R.duplicate_slugs(cs(spark, d).where("customer_name is not null").select("id", T.slugify(F.col("customer_name")).alias("slug")))
+
+
+@query("rec_merge_counts", "select count(*) filter (is_sample and coalesce(id, '') <> '') samples, count(*) filter (not is_sample and coalesce(id, '') <> '') extracted, count(distinct id) filter (coalesce(id, '') <> '') total from case_studies")
+def rec_merge_counts(spark, d):
+    rows = cs(spark, d)
+    return R.merge_counts(rows.where("is_sample"), rows.where("not is_sample"))
+
+
+STORED = ", ".join(f"array_to_string(list_sort(list_filter(coalesce({f}, []), lambda x: x is not null)), '|') {f}" for f in R.CHILD_FIELDS)
+
+
+@query("rec_seed_export", f"select id, slug, coalesce(nullif(confidence_score, 0), {CONFIDENCE}) confidence_score, coalesce(nullif(maturity_score, 0), {MATURITY}) maturity_score, {STORED} from {ONE} where id is not null")
+def rec_seed_export(spark, d):
+    """Seeded into a new record store in two parts, the second again with all, then exported."""
+    from ..sinks.writers import RecordStore
+
+    store = RecordStore(spark, f"{shared_dir(spark)}/records-{uuid.uuid4().hex}")
+    store.create()
+    rows = one_each(cs(spark, d).where("id is not null"))
+    store.seed(rows.where("is_sample"))
+    store.seed(rows)
+    return store.export().select("id", "slug", "confidence_score", "maturity_score", *[F.array_join(f, "|").alias(f) for f in R.CHILD_FIELDS])
+
+
+@query("rec_sorted_json", f"select id, vendor, len(coalesce(products_used, [])) products, slug from {ONE}")
+def rec_sorted_json(spark, d):
+    """Records written as JSON with sorted keys and read again; the order of keys is checked by tests."""
+    rows = one_each(cs(spark, d))
+    back = rows.select(F.from_json(R.sorted_json(rows), R.RECORD_DDL).alias("r"))
+    return back.select("r.id", "r.vendor", F.coalesce(F.size("r.products_used"), F.lit(0)).cast("bigint").alias("products"), "r.slug")
 
 
 @query("rec_slugify", "select id, case when s = '' then 'untitled' else s end slug from (select id, regexp_replace(regexp_replace(lower(customer_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') s from case_studies where customer_name is not null)")
@@ -231,14 +267,23 @@ def rec_categories(spark, d):
 SEARCH = "lower(concat_ws(' ', customer_name, vendor, industry, solution_summary, array_to_string(products_used, ' '), array_to_string(technical_area, ' '), array_to_string(use_case_category, ' ')))"
 
 
-@query("search_facets", f"select id from case_studies where contains({SEARCH}, 'clinics') and vendor = 'Nimbral' and list_contains(technical_area, 'Data Foundation')")
+@query("search_facets", f"select id from case_studies where contains({SEARCH}, 'the') and vendor = (select max(vendor) from case_studies where len(technical_area) > 0) and list_contains(technical_area, (select technical_area[1] from case_studies where len(technical_area) > 0 order by vendor desc, technical_area[1] limit 1))")
 def search_facets(spark, d):
-    return A.facet_filter(cs(spark, d), text=" Clinics", vendor="Nimbral", area="Data Foundation").select("id")
+    """The facets are those of the last vendor by alphabet and its first technical area."""
+    tagged = cs(spark, d).where("size(technical_area) > 0")
+    last = tagged.agg(F.max("vendor").alias("v")).first()["v"]
+    area = tagged.where(F.col("vendor") == last).agg(F.min(F.col("technical_area")[0]).alias("a")).first()["a"]
+    return A.facet_filter(cs(spark, d), text=" THE", vendor=last, area=area).select("id")
 
 
-@query("search_text_only", f"select id from case_studies where contains({SEARCH}, '100%')")
+@query("search_text_only", f"select id from case_studies where contains({SEARCH}, 'bank')")
 def search_text_only(spark, d):
-    return A.facet_filter(cs(spark, d), text="100%").select("id")
+    return A.facet_filter(cs(spark, d), text="Bank").select("id")
+
+
+@query("search_industry", f"select id from case_studies where industry = 'Energy' and contains({SEARCH}, '%') = contains({SEARCH}, '%')")
+def search_industry(spark, d):
+    return A.facet_filter(cs(spark, d), industry="Energy").select("id")
 
 
 @query("rec_by_slug", "select id, slug from case_studies where slug = (select min(slug) from case_studies) limit 1")

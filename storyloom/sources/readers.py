@@ -50,12 +50,19 @@ def _whole(files: DataFrame, schema: T.StructType, strict: bool = False, *more)
     return rows.select(F.explode("rows").alias("r"), *kept).where("r is not null").select("r.*", *kept)
 
 
-def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """Records of a tree of JSON files at any depth (an object or an array a file), with path; in order of path.
+def read_records(spark: SparkSession, path: str, strict: bool = False, one_level: bool = False) -> DataFrame:
+    """Records of a tree of JSON files (an object or an array a file), with path: order by it where the order counts, as
+    last_by_key(order="path") does for merging.
 
-    Unreadable files are dropped, or fail the query if strict. Broken contents of readable ones are left to normalise()."""
+    one_level: only files in folders directly below path, not those at any depth. A missing tree is empty. Unreadable files are
+    dropped, or fail the query if strict. Broken contents of readable ones are left to normalise()."""
     schema = T.StructType.fromDDL(RECORD_DDL)
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    if not exists(spark, f"{path.rstrip('/')}/*/*.json" if one_level else path):
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField("path", T.StringType())]))
+    if one_level:
+        files = spark.read.text(f"{path.rstrip('/')}/*/*.json", wholetext=True)
+    else:
+        files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return _whole(files, schema, strict, F.col("_metadata.file_path").alias("path"))
 
 
