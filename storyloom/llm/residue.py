@@ -2,8 +2,10 @@
 
 Each passage window of a text retrieves the exemplars that share its words through an inverted index; an exemplar counts as
 found where a window no longer than itself (with a little slack) holds nearly all of its TF-IDF weight. Filler counts
-wherever it stands in a story, messages only where they make up the page. Unfilled placeholders are shapes, not words: they
-are exemplars of their own kind, told from a story that talks about such marks by the words that lead up to them.
+wherever it stands in a story, messages only where they make up the page. In placeholders the marks tell, not the words: a
+text's marks are read as shapes (what opens, what closes, what kind of words stand between), and the exemplars of placeholders
+are indexed by their shapes. A placeholder is talked about, not left unfilled, where an exemplar of such talk is found in the
+words that lead up to it.
 """
 
 from __future__ import annotations
@@ -59,18 +61,29 @@ EXEMPLARS: list[tuple[str, str]] = [
     ("script", "Bitte aktivieren Sie JavaScript um diesen Inhalt anzuzeigen"),
     ("script", "Veuillez activer JavaScript pour afficher cette page"),
 ]
-#: Shapes of unfilled placeholders and of what a failed fill leaves behind (fixed values).
-PLACEHOLDERS = (
-    r"\{\{[^{}]{1,60}\}\}", r"\{%[^{}]{1,60}%\}", r"<%[^<>]{1,60}%>", r"\$\{[^{}]{1,60}\}", r"#\{[^{}]{1,60}\}", r"%%[^%\s]{1,40}%%", r"@@[^@\s]{1,40}@@",
-    r"\[\[[^\[\]]{1,60}\]\]", r"\[(?:INSERT|ADD|YOUR|TBD|TODO)\b[^\[\]]{0,60}\]", r"\[[A-Za-z][\w'’-]*(?: [A-Za-z][\w'’-]*){0,5}\]", r"__[A-Z][A-Z0-9_]*__", r"(?<![\w{])\{[a-z_]*\d*\}(?!\w)",
-    r"%\([a-z_]+\)[sd]", r"(?<!\S)%[sd](?![\w%])", r"<[a-z]+(?: [a-z]+){1,5} here>", r"<(?:add|insert|enter|your|replace|put|fill|write|name|company|customer|product|quote)\b[^<>=]{0,40}>", r"\bXX+ ?%|\bXX+\b", r"\bnull null\b", r"\bundefined\b", r"\bNaN\b", r"\bTODO:", r"\bFIXME\b",
-    r"\bTK TK\b|\bTKTK\b", r"\b(?:INSERT|YOUR) [A-Z]+(?: [A-Z]+)? HERE\b",
-)
-PLACEHOLDER = re.compile("|".join(PLACEHOLDERS))
-#: What every such shape holds: a quick look before the full patterns.
-PLACEHOLDER_SIGN = re.compile(r"[{\[<@_]|%[%(sd]|#\{|XX|null null|undefined|NaN|TODO:|FIXME|TK ?TK| HERE\b")
-#: Words after which a placeholder is talked about, not left unfilled (fixed values).
-MENTION = frozenset("word words term terms mark marks token tokens tag tags variable variables syntax string strings called named like literal placeholder placeholders template templates mot balise wort marke zeichenfolge".split())
+EXEMPLARS += [("placeholder", x) for x in (
+    "Dear {{ first_name }}", "{% block title %}", "<% story.title %>", "${customer}", "#{customer}", "%%CUSTOMER%%", "@@CUSTOMER@@", "[[customer]]", "[INSERT NAME 2]", "[ADD FIGURE (%)]", "[YOUR TEXT, 2 lines]",
+    "[TBD: quote]", "[TODO: result]", "[Customer name]", "__CUSTOMER__", "{customer}", "{0}", "%(customer)s", "%s", "%d", "<customer name here>", "<add result>", "<insert quote>", "<enter name>", "<your text>",
+    "<replace this>", "<put figure>", "<fill in>", "<write here>", "<name>", "<company>", "<customer>", "<product>", "<quote>", "XX %", "XXX", "null null", "undefined", "NaN", "TODO: text", "FIXME", "TK TK", "TKTK", "INSERT NAME HERE", "YOUR TEXT HERE",
+)]
+EXEMPLARS += [("mention", x) for x in (
+    "such as", "word", "words", "term", "terms", "mark", "marks", "token", "tokens", "tag", "tags", "variable", "variables", "syntax", "string", "strings", "called", "named", "like", "literal", "placeholder", "placeholders",
+    "template", "templates", "mot", "balise", "wort", "marke", "zeichenfolge",
+)]
+#: How marks are read as shapes: a name and what it looks like. A shape with a group is told apart by the word it catches.
+SHAPES = {
+    "{{}}": r"\{\{[^{}]{1,60}\}\}", "{%%}": r"\{%[^{}]{1,60}%\}", "<%%>": r"<%[^<>]{1,60}%>", "${}": r"\$\{[^{}]{1,60}\}", "#{}": r"#\{[^{}]{1,60}\}", "%%": r"%%[^%\s]{1,40}%%", "@@": r"@@[^@\s]{1,40}@@",
+    "[[]]": r"\[\[[^\[\]]{1,60}\]\]", "[!]": r"\[(?P<order>[A-Z]{3,})\b[^\[\]]{0,60}\]", "[]": r"\[[A-Za-z][\w'’-]*(?: [A-Za-z][\w'’-]*){0,5}\]", "__": r"__[A-Z][A-Z0-9_]*__", "{}": r"(?<![\w{])\{[a-z_]*\d*\}(?!\w)",
+    "%()": r"%\([a-z_]+\)[sd]", "%": r"(?<!\S)%(?P<format>[a-z])(?![\w%])", "<.>": r"<[a-z]+(?: [a-z]+){1,5} (?P<last>[a-z]+)>", "<!>": r"<(?P<first>[a-z]+)\b[^<>=]{0,40}>", "XX%": r"\bXX+ ?%", "XX": r"\bXX+\b",
+    "twice": r"\b(?P<twice>\w{2,6}) (?P=twice)\b", "caps:": r"\b(?P<caps>[A-Z]{4,}):", "bare": r"\b(?P<bare>undefined|NaN|[A-Z]{4,})\b", "caps here": r"\b(?P<ask>[A-Z]{4,}) [A-Z]+(?: [A-Z]+)? HERE\b",
+}
+PATTERNS = [(name, re.compile(x)) for name, x in SHAPES.items()]
+
+
+def shapes_of(text: str) -> list[tuple[str, int, int]]:
+    """(shape, from, to) of the marks in a text."""
+    return [(f"{name} {m[1]}" if pattern.groups else name, m.start(), m.end()) for name, pattern in PATTERNS for m in pattern.finditer(text)]
+
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 HAS_DIGIT = re.compile(r"\d")
@@ -84,7 +97,9 @@ def words_of(text: str) -> list[str]:
     return [w for w in WORD.findall(text.lower().replace("’", "'")) if not HAS_DIGIT.search(w)]
 
 
-MESSAGES, FILLER = frozenset(("error", "script")), frozenset(("filler",))
+MESSAGES, FILLER, TALK = frozenset(("error", "script")), frozenset(("filler",)), frozenset(("mention",))
+#: Words before a placeholder in which talk about it is looked for.
+LEAD = 3
 
 
 class Index:
@@ -93,7 +108,17 @@ class Index:
     counts: pages holding each exemplar word, and all pages under ''; without counts all words weigh the same."""
 
     def __init__(self, exemplars: list[tuple[str, str]], counts: dict[str, int] | None = None):
-        self.exemplars = [(kind, words_of(text)) for kind, text in exemplars]
+        self.exemplars = [(kind, [] if kind == "placeholder" else words_of(text)) for kind, text in exemplars]
+        self.shapes: dict[str, list[int]] = defaultdict(list)  # shape -> exemplars of placeholders
+        signs = {r"[{\[<@%#$]", "__"}
+        for i, (kind, text) in enumerate(exemplars):
+            if kind == "placeholder" and (found := shapes_of(text)):
+                shape, start, end = max(found, key=lambda x: x[2] - x[1])  # the longest, the first of equals
+                self.shapes[shape].append(i)
+                if not re.search(r"[{\[<@%#$]|__", text):
+                    signs.add("XX" if shape == "XX" else " HERE" if shape.startswith("caps here") else re.escape(text[start:end]))
+        self.shapes = dict(self.shapes)
+        self.sign = re.compile("|".join(sorted(signs)))  # what any of these shapes holds: a quick look
         total = (counts or {}).get("", 0)
         self.idf = defaultdict(lambda: math.log(1 + total) + 1) if total else defaultdict(lambda: 1.0)
         for _, words in self.exemplars:
@@ -178,12 +203,14 @@ def is_notice_page(texts: list[str], index: Index) -> bool:
     return len(covered) >= COVERED * len(words)
 
 
-def has_placeholder(text: str) -> bool:
-    for m in PLACEHOLDER.finditer(text):
-        before = words_of(text[max(0, m.start() - 60) : m.start()])[-3:]
-        if not MENTION & set(before) and before[-2:] != ["such", "as"]:
-            return True
-    return False
+def placeholders(text: str, index: Index) -> list[int]:
+    """Where placeholders of an indexed shape begin in a text."""
+    return sorted({start for shape, start, _ in shapes_of(text) if shape in index.shapes})
+
+
+def has_placeholder(text: str, index: Index) -> bool:
+    """Whether one stands in a text that is not talked about there."""
+    return any(not index.find(words_of(text[max(0, start - 60) : start])[-LEAD:], TALK) for start in placeholders(text, index))
 
 
 def has_filler(text: str, index: Index) -> bool:
@@ -195,7 +222,7 @@ def story_residue(texts: list[str], index: Index) -> str | None:
     if is_notice_page(texts, index):
         return "message"
     whole = "\n".join(texts)
-    if PLACEHOLDER_SIGN.search(whole) and any(has_placeholder(t) for t in texts if PLACEHOLDER_SIGN.search(t)):
+    if index.sign.search(whole) and any(has_placeholder(t, index) for t in texts if index.sign.search(t)):
         return "placeholder"
     if index.may_hold(whole.lower(), FILLER) and any(has_filler(t, index) for t in texts if index.may_hold(t.lower(), FILLER)):
         return "filler"
@@ -209,17 +236,16 @@ def error_residue(error: str | None, status: int | None, index: Index) -> bool:
     if not error or not error.strip():
         return False
     text = error.strip()
-    for m in PLACEHOLDER.finditer(text):
-        if not re.fullmatch(r"\[\w+(?: \w+)*\]", m[0]) or not re.search(r"errno", m[0], re.I):
-            return True
+    if placeholders(re.sub(r"\[errno[^\[\]]*\]", "", text, flags=re.I), index):
+        return True
     return status == 200 and is_notice_page([re.sub(r"</?[a-z][a-z0-9]*>", " ", text, flags=re.I)], index)
 
 
 def vocabulary() -> dict[str, str]:
     """Spellings under which whitespace-split tokens of a text stand for an exemplar word."""
     out = {}
-    for _, text in EXEMPLARS:
-        for w in words_of(text):
+    for kind, text in EXEMPLARS:
+        for w in words_of(text) if kind != "placeholder" else ():
             for tail in ("", ".", ",", ":", ";", "…", "?", "!"):
                 out[w + tail] = w
     return out
