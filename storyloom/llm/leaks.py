@@ -152,7 +152,7 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
                         x /= max(math.sqrt(float(x @ x)), 1e-9)
                         total[u] += np.outer(x, x @ q[u])
             used = np.flatnonzero(np.abs(total).sum(axis=1))
-            yield pd.DataFrame({"row": used.astype(np.int32), "v": [total[i].tolist() for i in used]})
+            yield pd.DataFrame({"row": used.astype(np.int32), "v": pd.Series([total[i].tolist() for i in used], dtype=object)})
 
         parts = sample.mapInPandas(multiply, "row int, v array<float>")
         summed = parts.select("row", F.posexplode("v")).groupBy("row", "pos").agg(F.sum("col").alias("x")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v")).select("row", "v.x")

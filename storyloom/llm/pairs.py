@@ -55,7 +55,7 @@ def numbered(records: DataFrame, kept: DataFrame) -> DataFrame:
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         no = shared.value
         for pdf in batches:
-            yield pd.DataFrame({"items": [[no[x] for x in items if x in no] for items in pdf["items"]]})
+            yield pd.DataFrame({"items": pd.Series([[no[x] for x in items if x in no] for items in pdf["items"]], dtype=object)})
 
     return records.select("items").mapInPandas(look_up, "items array<int>")
 
@@ -71,7 +71,7 @@ def stripes(records: DataFrame) -> DataFrame:
         size = 0
 
         def rows() -> pd.DataFrame:
-            return pd.DataFrame([(a, list(s), list(s.values())) for a, s in held.items()], columns=["item", "others", "n"])
+            return pd.DataFrame([(a, list(s), list(s.values())) for a, s in held.items()], columns=["item", "others", "n"], dtype=object).astype({"item": np.int32})
 
         for pdf in batches:
             for items in pdf["items"]:
