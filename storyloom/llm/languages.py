@@ -42,10 +42,11 @@ WORD = re.compile(r"[^\W\d_]+")
 #: A sentence: closed by punctuation.
 SENTENCE = re.compile(r"[.!?…][\"”“»’)\]]*$")
 #: A passage ends at a blank line or after closing punctuation followed by white space; single line breaks may be wraps.
-SPLIT = re.compile(r"\s*\n\s*\n\s*|(?<=[.!?…])[\"”“»’)\]]*\s+")
+BLANK_LINE = re.compile(r"\s*\n\s*\n\s*")
+CLOSED = re.compile(r"[.!?…][\"”“»’)\]]*\s+")
 HYPHEN = re.compile(r"-(?<=[^\W\d_]-)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 #: Two or more capitalised words in a row are a name, which says little of the language.
-NAME = re.compile(r"\b[A-ZÀ-Þ][a-zß-ÿ]+(?:\s+(?:of\s+)?[A-ZÀ-Þ][a-zß-ÿ]+)+\b")
+NAME = re.compile(r"[A-ZÀ-Þ](?<!\w.)[a-zß-ÿ]+(?:\s+(?:of\s+)?[A-ZÀ-Þ][a-zß-ÿ]+)+\b")
 
 
 def label_language(label: Column) -> Column:
@@ -58,13 +59,32 @@ def label_language(label: Column) -> Column:
 
 
 def passages(text: str | None) -> list[str]:
-    return [p for p in (x.strip() for x in SPLIT.split(HYPHEN.sub("", text or ""))) if p]
+    text = HYPHEN.sub("", text or "")
+    out = []
+    for part in BLANK_LINE.split(text) if "\n" in text else [text]:
+        start = 0
+        for m in CLOSED.finditer(part):
+            out.append(part[start : m.start() + 1].strip())
+            start = m.end()
+        out.append(part[start:].strip())
+    return [p for p in out if p]
+
+
+def letters(text: str) -> list[str]:
+    """The runs of letters in a text: WORD, with a short way for words that are nothing else."""
+    out: list[str] = []
+    for w in text.split():
+        if w.isalpha():
+            out.append(w)
+        else:
+            out += WORD.findall(w)
+    return out
 
 
 def telling_words(passage: str) -> list[str]:
     """Words of a passage without names, in lower case; all words where little else is left."""
-    words = WORD.findall(NAME.sub(" ", passage).lower())
-    return words if len(words) >= MIN_WORDS else WORD.findall(passage.lower())
+    words = letters(NAME.sub(" ", passage).lower())
+    return words if len(words) >= MIN_WORDS else letters(passage.lower())
 
 
 def word_grams(word: str) -> list[str]:
@@ -189,7 +209,7 @@ def languages_asked(known: Profiles, text: str | None, label: str | None) -> Gen
     long = [i for i, w in enumerate(telling) if len(w) >= MIN_WORDS]
     got = yield [telling[i] for i in long]
     own = {i: known.verdict(d) for i, d in zip(long, got)}
-    bare = {i: WORD.findall(NAME.sub(" ", parts[i]).lower()) for i in range(len(parts)) if i not in own and SENTENCE.search(parts[i])}
+    bare = {i: letters(NAME.sub(" ", parts[i]).lower()) for i in range(len(parts)) if i not in own and SENTENCE.search(parts[i])}
     named = [i for i, w in bare.items() if w]  # others are names, which say nothing
     likes = dict(zip(named, (yield [bare[i] for i in named]))) if named else {}
     unclear: list[int] = []
@@ -226,7 +246,7 @@ def languages_asked(known: Profiles, text: str | None, label: str | None) -> Gen
         total, main = sum(words.values()), max(words, key=lambda x: (words[x], x))
         return [(x, n / total, trust[x] / n, x == main, x != label) for x, n in words.items()]
     if distance is None:
-        distance = (yield [[w for p in parts for w in WORD.findall(p.lower())]])[0]
+        distance = (yield [[w for p in parts for w in letters(p.lower())]])[0]
         lang, confidence = known.verdict(distance)
     if lang is None:
         return [(None, 1.0, 0.0, True, False)]
