@@ -314,16 +314,23 @@ def stars(keys: DataFrame, links: DataFrame) -> DataFrame:
     return keys.select("key").join(satellites, "key", "left").select("key", F.coalesce("centre", "key").alias("centre"))
 
 
-def linked_names(names: DataFrame, vendors: list[str]) -> DataFrame:
-    """field, name_a, name_b: pairs of different spellings of one entity, the smaller by code point first.
+def clustered_names(names: DataFrame, vendors: list[str]) -> DataFrame:
+    """field, name, centre: every spelling with the star it belongs to; a spelling of its own has a centre of its own.
 
-    names: field, name, n (records), each spelling once."""
+    names: field, name, n (records), each spelling once. One row per spelling, however large a star is."""
     read = materialize(readings(names, vendors).withColumn("key", F.xxhash64("field", "kind", "words")), "readings")
     keys = read.groupBy("key").agg(F.first("field").alias("field"), F.first("kind").alias("kind"), F.first("words").alias("words"), F.sum("n").alias("n"))
     full = (F.col("kind") != "").cast("int") + F.size(F.filter(F.split("words", " "), lambda w: F.length(w) > 1))
     keys = materialize(keys.withColumn("full", F.least(full, F.lit(3))), "reading-keys")
     links = materialize(verified(candidates(keys), keys), "verified-names")
-    clustered = read.join(stars(keys, links), "key").select("field", "name", "centre")
+    return read.join(stars(keys, links), "key").select("field", "name", "centre")
+
+
+def linked_names(names: DataFrame, vendors: list[str]) -> DataFrame:
+    """field, name_a, name_b: pairs of different spellings of one entity, the smaller by code point first; see clustered_names.
+
+    All pairs of a star come out, as they are asked for; where stars are large take their members instead."""
+    clustered = clustered_names(names, vendors)
     a, b = (clustered.select("field", "centre", F.col("name").alias(f"name_{s}")) for s in "ab")
     return a.join(b, ["field", "centre"]).where("name_a < name_b").select("field", "name_a", "name_b")
 

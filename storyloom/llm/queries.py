@@ -50,6 +50,14 @@ def _state(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_dir(spark)}/{STORIES}-{hashlib.sha256(sf_dir.rstrip('/').encode()).hexdigest()[:16]}"
 
 
+def p4_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with its cluster: one row each, where p4_found gives all pairs."""
+    from .names import clustered_names, name_spellings
+
+    vendors = [r["value"] for r in table(spark, sf_dir, "taxonomy").where("kind = 'vendors'").select("value").collect()]  # a fixed list
+    return clustered_names(name_spellings(table(spark, sf_dir, "case_studies")), vendors)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .known_pages import known_urls
 
