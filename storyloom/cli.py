@@ -111,8 +111,13 @@ def probe(spark, args):
             except Exception as e:  # noqa: BLE001 - the next strategy is tried
                 tried.append((plan["url"], n, 0, None, str(e), a["profile"], a["source"]))
     rows = found(spark.createDataFrame(tried, "url string, attempt_no int, status int, body string, transport_error string, profile string, source string"))
+    known = {}
+    if os.path.exists(args.out):
+        with open(args.out, encoding="utf-8") as f:
+            known = {h["host"]: h for h in json.load(f).get("hosts", [])}
+    known.update((r["host"], r.asDict()) for r in rows.collect() if r["host"])  # others stay
     with open(args.out, "w", encoding="utf-8") as f:
-        json.dump({"hosts": [r.asDict() for r in rows.collect()]}, f, ensure_ascii=False, indent=2, sort_keys=True)
+        json.dump({"hosts": [known[h] for h in sorted(known)]}, f, ensure_ascii=False, indent=2, sort_keys=True)
 
 
 def extract_queue(spark, args):
@@ -268,9 +273,11 @@ def main(argv: list[str] | None = None) -> int:
     command(export, "store")
     command(run, "name", "tables")
     args = parser.parse_args(argv)
-    from .session import get_spark
+    from .session import clear_work, get_spark
 
-    args.run(SparkSession.getActiveSession() or get_spark("*"), args)
+    spark = SparkSession.getActiveSession() or get_spark("*")
+    args.run(spark, args)
+    clear_work(spark)
     return 0
 
 

@@ -25,9 +25,9 @@ def tag_values(records: DataFrame, field: str) -> DataFrame:
     return records.select(F.explode(field).alias("label")).where("label <> ''")
 
 
-def top_values(values: DataFrame, limit: int = 10) -> DataFrame:
-    """The most frequent values; ties by label."""
-    return count_values(values).orderBy(F.desc("count"), "label").limit(limit)
+def top_values(values: DataFrame, limit: int = 10, locale: bool = False) -> DataFrame:
+    """The most frequent values; ties by label, in binary order or as a reader would sort them."""
+    return count_values(values).orderBy(F.desc("count"), locale_order(F.col("label")) if locale else F.col("label")).limit(limit)
 
 
 def matrix_cells(records: DataFrame, row: str, column_field: str, columns: DataFrame) -> DataFrame:
@@ -42,12 +42,13 @@ def matrix_cells(records: DataFrame, row: str, column_field: str, columns: DataF
     return spine.join(hits, ["label", "column"], "left").select("label", "column", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
-def matrix_columns(records: DataFrame, field: str, limit: int, by: str = "alphabetical") -> DataFrame:
-    """label: the first `limit` tags by alphabet, or the most frequent ones (by='count')."""
+def matrix_columns(records: DataFrame, field: str, limit: int, by: str = "alphabetical", locale: bool = False) -> DataFrame:
+    """label: the first `limit` tags by alphabet, or the most frequent ones (by='count'); locale: see top_values."""
     tags = tag_values(records, field)
+    order = locale_order(F.col("label")) if locale else F.col("label")
     if by == "alphabetical":
-        return tags.distinct().orderBy("label").limit(limit)
-    return tags.groupBy("label").count().orderBy(F.desc("count"), "label").limit(limit).select("label")
+        return tags.distinct().orderBy(order).limit(limit)
+    return tags.groupBy("label").count().orderBy(F.desc("count"), order).limit(limit).select("label")
 
 
 def matrix_totals(cells: DataFrame) -> DataFrame:

@@ -103,7 +103,8 @@ class IncrementalRun:
         return checksums(files).join(known.select("path", "size", "checksum"), ["path", "size", "checksum"], "left_anti")
 
     def run(self, transform: Callable[[DataFrame], DataFrame], batch_id: str | None = None) -> list[str]:
-        """Process the pending files; returns the identifiers of the batches committed, none if nothing was pending.
+        """Process the pending files, whose rows transform gets with input_path, their file (in place of a column of that name);
+        what it returns must keep input_path. Returns the identifiers of the batches committed, none if nothing was pending.
 
         Give the identifier of a batch that failed to repeat it: its output is overwritten. It then takes all pending files."""
         done: list[str] = []
@@ -117,7 +118,7 @@ class IncrementalRun:
                 return done
             name = batch_id or uuid.uuid4().hex
             source = F.col("_metadata.file_path").alias("input_path")
-            out = transform(self.spark.read.parquet(*[r["path"] for r in rows]).select("*", source))
+            out = transform(self.spark.read.parquet(*[r["path"] for r in rows]).drop("input_path").select("*", source))
             out.write.mode("overwrite").parquet(f"{self.state}/batches/batch_id={name}")
             try:
                 self.commit(name, rows, number)

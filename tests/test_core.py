@@ -265,7 +265,7 @@ def test_writers(spark, tmp_path):
 
 def test_incremental_run(spark, tmp_path):
     source, state = tmp_path / "in", tmp_path / "state"
-    write = lambda name, n: spark.range(n).coalesce(1).write.mode("overwrite").parquet(str(source / name))
+    write = lambda name, n: spark.range(n).withColumn("input_path", F.lit("clash")).coalesce(1).write.mode("overwrite").parquet(str(source / name))
     write("a", 3)
     run = IncrementalRun(spark, f"file://{source}", f"file://{state}")
     keep = lambda rows: rows.select("id", "input_path")
@@ -436,8 +436,9 @@ def test_commands_that_fetch(spark, tmp_path):
         assert {u: (r["status"], r["profile"]) for u, r in got.items()} == {"/blog/1": (200, "default"), "/blog/2": (200, "bingbot")}
         with open(got["/blog/2"]["raw_path"]) as f:
             assert f.read() == "<p>two</p>"
+        (tmp_path / "s.json").write_text(json.dumps({"hosts": [{"host": "z.example", "strategy": "reader", "kind": "reader"}]}))
         main(["probe", f"{site}/blog/2", "--out", str(tmp_path / "s.json")])
-        assert json.loads((tmp_path / "s.json").read_text())["hosts"][0]["strategy"] == "bingbot"
+        assert [h["strategy"] for h in json.loads((tmp_path / "s.json").read_text())["hosts"]] == ["bingbot", "reader"]
     finally:
         server.shutdown()
 
@@ -459,6 +460,14 @@ def test_stream(spark, tmp_path):
     assert sorted(r["url"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u", "x"]
 
 
+def test_locale_order_decides_ties(spark):
+    values = spark.createDataFrame([(x,) for x in "Zebra apple Äpfel Apple".split()], "label string")
+    assert [r["label"] for r in A.top_values(values, 3, locale=True).collect()] == ["apple", "Apple", "Äpfel"]
+    assert [r["label"] for r in A.top_values(values, 3).collect()] == ["Apple", "Zebra", "apple"]
+    tags = values.groupBy().agg(F.collect_list("label").alias("t"))
+    assert [r["label"] for r in A.matrix_columns(tags, "t", 1, locale=True).collect()] == ["apple"]
+
+
 def test_ranked_over_ranges(spark):
     rows = spark.createDataFrame([("hot", i) for i in range(500)] + [("b", 1), (None, 2), (None, 1)], "k string, n int").repartition(5)
     got = {(r["k"], r["n"]): r["rank"] for r in A.ranked(rows, "k", ["n"]).collect()}
