@@ -41,6 +41,11 @@ def pages_of_urls(manifest: DataFrame) -> DataFrame:
     return manifest.where("url is not null and raw_path is not null").select("url", "raw_path").distinct()
 
 
+def page_keys(raw_pages: DataFrame) -> DataFrame:
+    """raw_path, sha256 of pages, empty where there is none: what tells a page read before."""
+    return raw_pages.select(F.coalesce("raw_path", F.lit("")).alias("raw_path"), F.coalesce("sha256", F.lit("")).alias("sha256"))
+
+
 class Stories:
     """What is kept of stored pages between runs, below `state`: per batch the layout statistics and the stories (raw_path,
     sha256, id, s) of its pages, and per accepted batch the texts (id, s) and their segments.
@@ -86,7 +91,7 @@ class Stories:
         fresh = raw_pages
         if self.batches("pages"):
             seen = self.read("pages", "pages", "raw_path string, sha256 string")
-            keys = materialize(raw_pages.select("raw_path", "sha256").join(seen, ["raw_path", "sha256"], "left_anti"), "new-pages")
+            keys = materialize(page_keys(raw_pages).join(seen, ["raw_path", "sha256"], "left_anti"), "new-pages")
             if keys.isEmpty():
                 return
             fresh = raw_pages.join(keys.select("raw_path"), "raw_path", "left_semi")
@@ -105,7 +110,7 @@ class Stories:
 
         found = pages.apply_rules(hosted, work, "raw_path string, s string", layouts)
         found.withColumn("id", F.xxhash64("s")).write.parquet(f"{self.state}/stories/{batch}")
-        fresh.select("raw_path", "sha256").write.parquet(f"{self.state}/pages/{batch}")
+        page_keys(fresh).write.parquet(f"{self.state}/pages/{batch}")
         self.mark("pages", batch)
 
     def accept(self, texts: DataFrame) -> None:

@@ -31,8 +31,16 @@ BUCKETS, RANK, POWER, SAMPLE = 8192, 128, 2, 20_000
 #: Least cosine in the latent space; chosen for recall, as every candidate is checked afterwards.
 COSINE = 0.3
 GAP = 3
-#: Neighbouring words of an item that a chain must hold side by side: RUN words less the edits are common, each edit or the cut parts two.
-PAIRS = RUN - 2 * int(EDITS * RUN) - 2
+#: Neighbouring words of an item that a chain of n words holds side by side at least: n less the edits are common, each edit or
+#: the cut parts two. PAIRS of them in all, and some RUN words in a row that hold PAIRS_IN_RUN: the chain lies in as few such
+#: windows as cover it, and no window lacks more than lie outside it.
+def least_pairs(n: int) -> int:
+    return n - 2 * int(EDITS * n) - 2
+
+
+LENGTHS = range(RUN, 20 * RUN)
+PAIRS = min(map(least_pairs, LENGTHS))
+PAIRS_IN_RUN = min(max(math.ceil(least_pairs(n) / math.ceil((n - 1) / (RUN - 1))), least_pairs(n) - (n - RUN)) for n in LENGTHS)
 DOCS_AT_ONCE, ITEMS_AT_ONCE = 256, 10_000
 WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 HYPHEN = re.compile(r"-(?<=[^\W\d_]-)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
@@ -42,19 +50,35 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(HYPHEN.sub("", text or "").lower().replace("’", "'"))
 
 
-_BUCKET: dict[str, int] = {}
+_CODES: dict[str, int] = {}
+
+
+def codes_of(words: list[str]) -> np.ndarray:
+    """Words as 32-bit numbers: what texts are compared by."""
+    codes = _CODES
+    if len(codes) > 500_000:
+        codes.clear()
+    try:
+        return np.array([codes[w] for w in words], dtype=np.uint32)
+    except KeyError:
+        for w in words:
+            if w not in codes:
+                codes[w] = zlib.crc32(w.encode())
+        return np.array([codes[w] for w in words], dtype=np.uint32)
+
+
+def buckets(codes: np.ndarray) -> np.ndarray:
+    return (codes.astype(np.uint32) % BUCKETS).astype(np.int32)
+
 
+def read_words(documents: DataFrame) -> DataFrame:
+    """doc_id, codes of every document: its words, read once and kept for all passes over them."""
 
-def buckets(words: list[str]) -> np.ndarray:
-    if len(_BUCKET) > 500_000:
-        _BUCKET.clear()
-    out = np.empty(len(words), dtype=np.int32)
-    for i, w in enumerate(words):
-        b = _BUCKET.get(w)
-        if b is None:
-            b = _BUCKET[w] = zlib.crc32(w.encode()) % BUCKETS
-        out[i] = b
-    return out
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "codes": pd.Series([codes_of(words_of(t)).view(np.int32) for t in pdf["text"]], dtype=object)})
+
+    return documents.select("doc_id", "text").mapInPandas(read, "doc_id bigint, codes array<int>")
 
 
 def windows(b: np.ndarray) -> list[np.ndarray]:
@@ -65,18 +89,18 @@ def windows(b: np.ndarray) -> list[np.ndarray]:
     return [b[s : s + WINDOW] for s in starts]
 
 
-def document_counts(documents: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per bucket and documents in all, over the whole corpus."""
+def document_counts(read: DataFrame) -> tuple[np.ndarray, int]:
+    """Documents per bucket and documents in all, over the whole corpus (column codes)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BUCKETS + 1, dtype=np.int64)
         for pdf in batches:
-            for text in pdf["text"]:
-                total[np.unique(buckets(list(set(words_of(text)))))] += 1
+            for codes in pdf["codes"]:
+                total[np.unique(buckets(codes))] += 1
                 total[BUCKETS] += 1
         yield pd.DataFrame({"bucket": np.arange(BUCKETS + 1, dtype=np.int32), "n": total})
 
-    rows = documents.select("text").mapInPandas(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows
+    rows = read.select("codes").mapInPandas(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows
     out = np.zeros(BUCKETS + 1, dtype=np.int64)
     for r in rows:
         out[r["bucket"]] = r["n"]
@@ -131,7 +155,7 @@ def projected(b: np.ndarray, lengths: np.ndarray, terms: np.ndarray, squares: np
 def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray, seed: int = 7) -> np.ndarray:
     """Right singular vectors (BUCKETS x RANK) of the sampled windows stacked on the item windows.
 
-    sample: text. Each round multiplies by A'A: partitions return their share of A'(AQ), which Spark adds up by row. The item
+    sample: codes. Each round multiplies by A'A: partitions return their share of A'(AQ), which Spark adds up by row. The item
     windows are scaled to the weight of the sample, so that their few directions are not lost under the corpus's own."""
     spark = sample.sparkSession
     rng = np.random.default_rng(seed)
@@ -145,8 +169,8 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
             q, weights = shared.value
             total = np.zeros_like(q)
             for pdf in batches:
-                for text in pdf["text"]:
-                    for c in windows(buckets(words_of(text))):
+                for codes in pdf["codes"]:
+                    for c in windows(buckets(codes)):
                         u, k = np.unique(c, return_counts=True)
                         x = (k * weights[u]).astype(np.float32)
                         x /= max(math.sqrt(float(x @ x)), 1e-9)
@@ -166,16 +190,21 @@ def randomised_svd(sample: DataFrame, items: list[np.ndarray], idf: np.ndarray,
     return basis
 
 
-def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
+def is_answer(word: str) -> bool:
+    return any(c.isdigit() for c in word)
+
+
+def chain(doc: list, item: list, answer: list[bool] | None = None) -> tuple[int, int]:
     """(item words covered, edits) of the longest chain of common words that holds the item's answers.
 
     A chain follows document and item with at most GAP words missing on either side between two common words, and once over
     any other text of the document. Its edits stay within EDITS, and it has at least half of the words with digits that the
-    item has there: texts that share a wording but not its figures are different."""
-    where: dict[str, list[int]] = defaultdict(list)
+    item has there: texts that share a wording but not its figures are different. doc and item: words, or their codes with what
+    is an answer of the item."""
+    where: dict = defaultdict(list)
     for j, w in enumerate(item):
         where[w].append(j)
-    answer = [any(c.isdigit() for c in w) for w in item]
+    answer = [is_answer(w) for w in item] if answer is None else answer
     answers = [0]
     for x in answer:
         answers.append(answers[-1] + x)
@@ -219,127 +248,126 @@ def chain(doc: list[str], item: list[str]) -> tuple[int, int]:
     return top
 
 
-class Probe:
-    """What a text must hold for a chain of an item to be possible: some RUN words or more in a row of which it holds all but the
-    edits, and at least half of the answers among them."""
-
-    def __init__(self, item: list[str]):
-        self.words = item
-        answer = np.array([any(c.isdigit() for c in w) for w in item])
-        self.answers = np.flatnonzero(answer)
-        n = len(item)
-        start, end = np.meshgrid(np.arange(n + 1), np.arange(n + 1), indexing="ij")
-        self.start, self.end = (x[end - start >= RUN] for x in (start, end))
-        sums = np.concatenate(([0], np.cumsum(answer)))
-        self.least = np.ceil((1 - EDITS) * (self.end - self.start) - 1e-9)
-        self.least_answers = (sums[self.end] - sums[self.start] + 1) // 2
-
-    def possible(self, seen: set[str]) -> bool:
-        held = np.array([w in seen for w in self.words])
-        sums = np.concatenate(([0], np.cumsum(held)))
-        enough = sums[self.end] - sums[self.start] >= self.least
-        if not enough.any():
-            return False
-        answers = np.zeros(len(held) + 1, dtype=np.int64)
-        answers[self.answers + 1] = held[self.answers]
-        answers = np.cumsum(answers)
-        return bool((answers[self.end] - answers[self.start] >= self.least_answers)[enough].any())
-
-
 class ItemIndex:
-    """The items' words and word pairs: numbers of words, and which items hold a pair of neighbours at how many places."""
+    """The items' words and word pairs: numbers of words, and at which places of which items a pair of neighbours stands."""
 
     def __init__(self, items: dict[int, list[str]]):
         self.items = np.array(sorted(items), dtype=np.int64)
-        self.numbers = {w: k for k, w in enumerate(sorted({w for ws in items.values() for w in ws}), 1)}
-        size = len(self.numbers) + 1
-        pairs, owners = [], []
-        for k, i in enumerate(self.items):
-            n = np.array([self.numbers[w] for w in items[i]], dtype=np.int64)
-            pairs.append(n[:-1] * size + n[1:])
-            owners.append(np.full(len(n) - 1, k))
-        keys, owners = np.concatenate(pairs), np.concatenate(owners)
-        both, places = np.unique(np.stack([keys, owners]), axis=1, return_counts=True)
-        self.keys, first = np.unique(both[0], return_index=True)
-        self.bounds = np.append(first, both.shape[1])
-        self.owners, self.places, self.size = both[1], places, size
-        self.codes: dict[str, int] = {}
-
-    def word_codes(self, texts: list[list[str]]) -> np.ndarray:
-        """Of all words of these texts: bucket plus BUCKETS times the number of an item's word."""
-        codes = self.codes
-        if len(codes) > 500_000:
-            codes.clear()
-        for ws in texts:
-            for w in ws:
-                if w not in codes:
-                    codes[w] = zlib.crc32(w.encode()) % BUCKETS + BUCKETS * self.numbers.get(w, 0)
-        return np.array([codes[w] for ws in texts for w in ws], dtype=np.int64)
-
-    def possible(self, numbers: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        """Per text the places in self.items of those it shares PAIRS neighbours with: no other can have a chain of RUN words."""
+        held = [codes_of(items[i]) for i in self.items]
+        self.codes = np.unique(np.concatenate(held))
+        self.size = len(self.codes) + 1
+        self.texts = [(c.tolist(), [is_answer(w) for w in items[i]]) for i, c in zip(self.items, held)]  # codes, what is an answer
+        self.longest = max(len(c) for c in held)
+        self.table = np.zeros((len(held), self.longest), dtype=np.int32)  # the numbers of an item's words, filled up with 0
+        answers = np.zeros((len(held), self.longest + 1), dtype=np.int32)
+        for k, (c, (_, answer)) in enumerate(zip(held, self.texts)):
+            self.table[k, : len(c)] = self.numbers(c)
+            answers[k, 1 : len(c) + 1] = answer
+        self.answers = np.cumsum(answers, axis=1)
+        numbers = [self.numbers(c) for c in held]
+        keys = np.concatenate([n[:-1] * self.size + n[1:] for n in numbers])
+        owners = np.repeat(np.arange(len(held)), [len(n) - 1 for n in numbers])
+        places = np.concatenate([np.arange(len(n) - 1) for n in numbers])
+        order = np.argsort(keys, kind="stable")
+        self.owners, self.places = owners[order], places[order]
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.bounds = np.append(first, len(keys))
+
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each word among the items' words, from 1; 0 for others."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at + 1, 0)
+
+    def possible(self, codes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """Per text (its words' codes, one text after the other) the places in self.items of those that may have a chain of RUN
+        words or more: the text shares enough word pairs, close enough to each other, and somewhere in the item it holds all
+        words but the edits, with half of the answers among them."""
         text = np.repeat(np.arange(len(lengths)), lengths)
-        beside = (numbers[:-1] > 0) & (numbers[1:] > 0) & (text[:-1] == text[1:])
-        at = np.flatnonzero(beside)
+        numbers = self.numbers(codes)
+        at = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0) & (text[:-1] == text[1:]))
         keys = numbers[at] * self.size + numbers[at + 1]
         k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = self.keys[k] == keys
-        seen = np.unique(np.stack([text[at[hit]], k[hit]]), axis=1)  # each pair once a text
-        counts = self.bounds[seen[1] + 1] - self.bounds[seen[1]]
-        rows = np.repeat(self.bounds[seen[1]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        seen = np.unique(text[at[hit]] * len(self.keys) + k[hit])  # each pair once a text
+        owner, k = np.divmod(seen, len(self.keys))
+        counts = self.bounds[k + 1] - self.bounds[k]
+        rows = np.repeat(self.bounds[k] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
         n_items = len(self.items)
-        cells, where = np.unique(np.repeat(seen[0], counts) * n_items + self.owners[rows], return_inverse=True)
-        shared = np.bincount(where, self.places[rows], minlength=len(cells))
-        enough = cells[shared >= PAIRS]
-        return np.split(enough % n_items, np.searchsorted(enough // n_items, np.arange(1, len(lengths))))
+        cells, where, shared = np.unique(np.repeat(owner, counts) * n_items + self.owners[rows], return_inverse=True, return_counts=True)
+        enough = shared >= PAIRS
+        keep = enough[where]
+        held = np.zeros((int(enough.sum()), self.longest + RUN), dtype=np.int16)  # the pairs of each text and item left, by place
+        held[(np.cumsum(enough) - 1)[where[keep]], self.places[rows[keep]] + 1] = 1
+        sums = np.cumsum(held, axis=1, dtype=np.int16)
+        cells = cells[enough][(sums[:, RUN - 1 :] - sums[:, : 1 - RUN]).max(axis=1, initial=0) >= PAIRS_IN_RUN]
+        able = cells[self.holds(text, numbers, len(lengths), *np.divmod(cells, n_items))]
+        return np.split(able % n_items, np.searchsorted(able // n_items, np.arange(1, len(lengths))))
+
+
+    def holds(self, text: np.ndarray, numbers: np.ndarray, n: int, texts: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Whether these texts hold a span of these items: RUN words or more, all but the edits, and half of its answers."""
+        there = np.zeros((n, self.size), dtype=bool)
+        there[text, numbers] = True
+        there[:, 0] = False
+        held = there[texts[:, None], self.table[items]]
+        answer = np.diff(self.answers, axis=1)[items] > 0
+        words, found, asked = (np.zeros((len(texts), self.longest + 1), dtype=np.int32) for _ in range(3))
+        np.cumsum(held, axis=1, out=words[:, 1:])
+        np.cumsum(held & answer, axis=1, out=found[:, 1:])
+        asked[:, :] = self.answers[items]
+        out = np.zeros(len(texts), dtype=bool)
+        for length in range(RUN, self.longest + 1):
+            enough = words[:, length:] - words[:, :-length] >= math.ceil((1 - EDITS) * length - 1e-9)
+            answered = 2 * (found[:, length:] - found[:, :-length]) >= asked[:, length:] - asked[:, :-length]
+            out |= (enough & answered).any(axis=1)
+        return out
 
 
 def leak_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine (greatest of any two windows, 0 where below COSINE), covered (item words), edits of every document
     (doc_id, text) that holds a passage of an item (item_id, text)."""
-    from ..session import spread
+    from ..session import materialize, spread
 
-    documents = spread(documents.select("doc_id", "text"))
     texts = items.where("text is not null").select("item_id", "text")
     blocks = max(1, -(-texts.count() // ITEMS_AT_ONCE))
-    counts, total = document_counts(documents)
+    read = materialize(read_words(spread(documents.select("doc_id", "text"))), "document-words")
+    counts, total = document_counts(read)
     found = None
     for k in range(blocks):
         mine = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
         held = {r["item_id"]: words_of(r["text"]) for r in mine.collect()}  # a block of the held-out set
         held = {i: w for i, w in sorted(held.items()) if len(w) >= RUN}
         if held:
-            rows = _search(documents, held, idf_weights(counts, total), total)
+            rows = _search(spread(read), held, idf_weights(counts, total), total)
             found = rows if found is None else found.unionByName(rows)
     return found if found is not None else documents.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("item_id", "bigint"), ("cosine", "double"), ("covered", "int"), ("edits", "int"))]).where("false")
 
 
-def _search(documents: DataFrame, held: dict[int, list[str]], idf: np.ndarray, total: int) -> DataFrame:
+def _search(read: DataFrame, held: dict[int, list[str]], idf: np.ndarray, total: int) -> DataFrame:
     from ..session import hash_share, materialize
 
     index = ItemIndex(held)
-    cuts = [(k, c) for k, i in enumerate(index.items) for c in windows(buckets(held[i]))]
-    sample = documents.where(hash_share("doc_id") < min(1.0, SAMPLE / 10 / max(1, total))).select("text")  # about ten windows a text
-    basis = randomised_svd(materialize(sample.repartition(8), "leak-sample"), [c for _, c in cuts], idf)
+    cuts = [(k, c) for k, i in enumerate(index.items) for c in windows(buckets(codes_of(held[i])))]
+    sample = read.where(hash_share("doc_id") < min(1.0, SAMPLE / 10 / max(1, total))).select("codes")  # about ten windows a text
+    basis = randomised_svd(materialize(sample.repartition(4), "leak-sample"), [c for _, c in cuts], idf)
     targets = np.concatenate([vectors(part, idf) @ basis for part in in_parts([c for _, c in cuts])])
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
     first = np.searchsorted([k for k, _ in cuts], np.arange(len(held)))  # the windows of an item follow each other
     terms = (idf[:, None] * basis).astype(np.float32)
-    shared = documents.sparkSession.sparkContext.broadcast((terms, idf**2, targets.T.copy(), first, index, held))
+    shared = read.sparkSession.sparkContext.broadcast((terms, idf**2, targets.T.copy(), first, index))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows_of, squares, z, starts, known, words = shared.value
-        probes = [Probe(words[int(i)]) for i in known.items]
+        rows_of, squares, z, starts, known = shared.value
         for pdf in batches:
             rows = []
             for k in range(0, len(pdf), DOCS_AT_ONCE):
                 part = pdf.iloc[k : k + DOCS_AT_ONCE]
-                cut = [(doc, w) for doc, w in zip(part["doc_id"], map(words_of, part["text"])) if len(w) >= RUN * (1 - EDITS)]
+                cut = [(doc, c.view(np.uint32)) for doc, c in zip(part["doc_id"], part["codes"]) if len(c) >= RUN * (1 - EDITS)]
                 if not cut:
                     continue
-                lengths = np.array([len(w) for _, w in cut])
-                codes = known.word_codes([w for _, w in cut])
-                latent, owner = projected(codes % BUCKETS, lengths, rows_of, squares)
+                lengths = np.array([len(c) for _, c in cut])
+                codes = np.concatenate([c for _, c in cut])
+                latent, owner = projected(buckets(codes), lengths, rows_of, squares)
                 far = np.einsum("ij,ij->i", latent, latent) >= COSINE**2  # a shorter vector has no such cosine with any
                 latent, owner = latent[far], owner[far]
                 near: list[dict[int, float]] = [{} for _ in cut]  # retrieved items with their cosine
@@ -348,18 +376,17 @@ def _search(documents: DataFrame, held: dict[int, list[str]], idf: np.ndarray, t
                     cosines = np.maximum.reduceat(np.maximum.reduceat(latent @ z, first, axis=0), starts, axis=1)  # texts x items
                     for t, j in zip(*np.nonzero(cosines >= COSINE)):
                         near[owner[first[t]]][int(j)] = float(cosines[t, j])
-                bound = known.possible(codes // BUCKETS, lengths)
-                for (doc, w), retrieved, able in zip(cut, near, bound):
-                    seen = set(w)
-                    able = able.tolist()
+                for (doc, c), retrieved, able in zip(cut, near, known.possible(codes, lengths)):
+                    if not len(able):
+                        continue
+                    c, able = c.tolist(), able.tolist()
                     for j in [*(j for j in able if j in retrieved), *(j for j in able if j not in retrieved)]:  # what the space leaves is checked as well
-                        if probes[j].possible(seen):
-                            covered, edits = chain(w, probes[j].words)
-                            if covered >= RUN:
-                                rows.append((doc, int(known.items[j]), retrieved.get(j, 0.0), covered, edits))
+                        covered, edits = chain(c, *known.texts[j])
+                        if covered >= RUN:
+                            rows.append((doc, int(known.items[j]), retrieved.get(j, 0.0), covered, edits))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "covered", "edits"])
 
-    return documents.mapInPandas(search, "doc_id bigint, item_id bigint, cosine double, covered int, edits int")
+    return read.select("doc_id", "codes").mapInPandas(search, "doc_id bigint, item_id bigint, cosine double, covered int, edits int")
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
