@@ -129,26 +129,28 @@ def in_parts(cuts: list[np.ndarray], size: int = 1000) -> Iterator[list[np.ndarr
 def projected(b: np.ndarray, lengths: np.ndarray, terms: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(windows of texts in the latent space, text of each); b: the hashed words of all texts, lengths of them each.
 
-    terms: weighted basis rows per bucket. A window is WINDOW words from every STEP-th on, the last ones of a text fewer: the sum
-    of WINDOW / STEP blocks. Windows are scaled by their length before projection, which leaves repeated words apart; that can
-    only raise a cosine."""
+    terms, squares: weighted basis rows and squared weights per bucket, and zeros at the end. A window is WINDOW words from every
+    STEP-th on, the last ones of a text fewer: the sum of WINDOW / STEP blocks. Windows are scaled by their length before
+    projection, which leaves repeated words apart; that can only raise a cosine."""
     blocks = -(-lengths // STEP)
     width = WINDOW // STEP
     first = np.cumsum(blocks) - blocks
     at = np.arange(len(b)) + np.repeat(first * STEP - (np.cumsum(lengths) - lengths), lengths)
-    padded = np.full((int(blocks.sum()) + width) * STEP, BUCKETS, dtype=np.int32)
+    padded = np.full(int(blocks.sum()) * STEP, BUCKETS, dtype=np.intp)
     padded[at] = b
-    rows = np.concatenate([terms, np.zeros((1, terms.shape[1]), np.float32)])[padded]
-    sums = rows.reshape(-1, STEP, rows.shape[1]).sum(axis=1)
-    weights = np.append(squares, 0.0)[padded].reshape(-1, STEP).sum(axis=1)
+    padded = np.ascontiguousarray(padded.reshape(-1, STEP).T)  # the first words of all blocks, then the second ones and so on
+    sums = terms[padded[0]]
+    for row in padded[1:]:
+        sums += terms[row]
+    weights = squares[padded].sum(axis=0)
     owner = np.repeat(np.arange(len(lengths)), blocks)
     place = np.arange(len(owner)) - first[owner]
     starts = np.flatnonzero((place == 0) | (place <= blocks[owner] - width))  # a text shorter than a window is one
-    total, weight = sums[starts].copy(), weights[starts].copy()
+    total, weight = sums[starts], weights[starts]
     for i in range(1, width):
-        inside = (place[starts] + i < blocks[owner[starts]])
-        total += np.where(inside[:, None], sums[starts + i], 0)
-        weight += np.where(inside, weights[starts + i], 0)
+        inside = np.flatnonzero(place[starts] + i < blocks[owner[starts]])
+        total[inside] += sums[starts[inside] + i]
+        weight[inside] += weights[starts[inside] + i]
     return total / np.sqrt(np.maximum(weight, 1e-9))[:, None].astype(np.float32), owner[starts]
 
 
@@ -353,8 +355,8 @@ def _search(read: DataFrame, held: dict[int, list[str]], idf: np.ndarray, total:
     targets = np.concatenate([vectors(part, idf) @ basis for part in in_parts([c for _, c in cuts])])
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
     first = np.searchsorted([k for k, _ in cuts], np.arange(len(held)))  # the windows of an item follow each other
-    terms = (idf[:, None] * basis).astype(np.float32)
-    shared = read.sparkSession.sparkContext.broadcast((terms, idf**2, targets.T.copy(), first, index))
+    terms = np.concatenate([idf[:, None] * basis, np.zeros((1, RANK))]).astype(np.float32)
+    shared = read.sparkSession.sparkContext.broadcast((terms, np.append(idf**2, 0.0), targets.T.copy(), first, index))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows_of, squares, z, starts, known = shared.value

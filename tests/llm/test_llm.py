@@ -323,6 +323,8 @@ def test_only_new_pages_are_read(spark, sf, tmp_path, monkeypatch):
     old_pages = raw.join(known.select("raw_path").distinct(), "raw_path", "left_semi")
     state = f"file://{tmp_path}/kept"
     known_pages.known_urls(before, run_log.where(F.col("started_at") < F.lit(newest)), known, old_pages, state).count()
+    spark.createDataFrame([("gone", "x" * 20, 1)], known_pages.STORIES).write.parquet(f"{state}/stories/dead")  # left by a run that died
+    assert known_pages.Stories(spark, state).stories().where("raw_path = 'gone'").count() == 0
     read = []
     apply_rules = pages.apply_rules
     monkeypatch.setattr(pages, "apply_rules", lambda p, *a: read.extend(r["raw_path"] for r in p.select("raw_path").collect()) or apply_rules(p, *a))
