@@ -116,7 +116,7 @@ class IncrementalRun:
             rows = rows[:FILES_PER_BATCH] if more else rows
             if not rows:
                 return done
-            name = batch_id or uuid.uuid4().hex
+            name = batch_id or f"b{uuid.uuid4().hex}"  # never read as a number
             source = F.col("_metadata.file_path").alias("input_path")
             out = transform(self.spark.read.parquet(*[r["path"] for r in rows]).drop("input_path").select("*", source))
             out.write.mode("overwrite").parquet(f"{self.state}/batches/batch_id={name}")
