@@ -47,7 +47,14 @@ HYPHEN = re.compile(r"-(?<=[^\W\d_]-)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(HYPHEN.sub("", text or "").lower().replace("’", "'"))
+    """WORD in a text, with a short way for what stands between blanks and is nothing else."""
+    out: list[str] = []
+    for w in HYPHEN.sub("", text or "").lower().replace("’", "'").split():
+        if w.isalnum():
+            out.append(w)
+        else:
+            out += WORD.findall(w)
+    return out
 
 
 _CODES: dict[str, int] = {}
