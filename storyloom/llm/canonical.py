@@ -235,7 +235,7 @@ def mapped_values(case_studies: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """The columns of p1_found: values that equal an entry character for character are left out."""
     spark = case_studies.sparkSession
     kinds = spark.createDataFrame([(kind, field) for field, (kind, _) in FIELDS.items()], "kind string, field string")
-    entries = taxonomy.join(F.broadcast(kinds), "kind").select("field", F.col("value").alias("entry"))  # three rows
+    entries = taxonomy.select("kind", "value").join(F.broadcast(kinds), "kind").select("field", F.col("value").alias("entry"))  # three rows
     labelled = spark.createDataFrame(rows(), "field string, entry string, spelling string")
     known = labelled.join(entries, ["field", "entry"], "left_semi").unionByName(labelled.where(F.col("entry") == NONE))
     spellings = known.unionByName(entries.select("field", "entry", F.col("entry").alias("spelling"))).distinct()
