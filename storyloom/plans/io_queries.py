@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def io_lenient(spark, d):
 @query("io_export", f"select row_number() over (order by vendor nulls first, customer_name nulls first, id nulls first)::bigint place, id from {ONE}")
 def io_export(spark, d):
     """The exported array read back in its order."""
-    path = f"{folder(spark).removeprefix('file://')}.json"
+    path = re.sub(r"^file:/*", "/", f"{folder(spark)}.json")
     W.export_array(one_each(table(spark, d, "case_studies")), path)
     whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.from_json("value", "array<struct<id:string>>")).alias("place", "r")).select((F.col("place") + 1).cast("bigint").alias("place"), "r.id")
