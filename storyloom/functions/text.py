@@ -98,12 +98,13 @@ def clean_text(c: Column) -> Column:
     rows = F.transform(lines(white_space(c)), lambda x, i: F.struct(F.regexp_replace(x, EDGE_BLANKS, "").alias("line"), i.alias("i")))
     kept = F.filter(rows, lambda r: (r["line"] == "") | ~is_boilerplate(r["line"]))
 
-    def keyed(r: Column) -> Column:
-        key = line_key(r["line"])
-        once = (r["line"] == "") | (F.length(key) > 80)  # never compared: a key of its own
-        return F.struct(F.when(once, F.concat(F.lit("\n"), r["i"].cast("string"))).otherwise(key).alias("key"), r["i"].alias("i"), r["line"].alias("line"))
+    keyed = F.transform(kept, lambda r: F.struct(line_key(r["line"]).alias("key"), r["i"].alias("i"), r["line"].alias("line")))
 
-    ordered = F.array_sort(F.transform(kept, keyed))
+    def own_key(r: Column) -> Column:
+        once = (r["line"] == "") | (F.length(r["key"]) > 80)  # never compared: a key of its own
+        return F.struct(F.when(once, F.concat(F.lit("\n"), r["i"].cast("string"))).otherwise(r["key"]).alias("key"), r["i"].alias("i"), r["line"].alias("line"))
+
+    ordered = F.array_sort(F.transform(keyed, own_key))
     before = F.concat(F.array(F.lit(None).cast("string")), F.transform(ordered, lambda r: r["key"]))
     paired = F.zip_with(ordered, before, lambda r, k: F.struct(r["i"].alias("i"), r["line"].alias("line"), (~r["key"].eqNullSafe(k)).alias("first")))
     first = F.array_sort(F.filter(paired, lambda r: r["i"].isNotNull() & r["first"]))
