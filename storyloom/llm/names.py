@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,6 +56,8 @@ KIND_LEAST, MOST_KINDS = 8, 2000
 WANTED_SIMILARITY, WANTED_RECALL, STRANGERS = 0.35, 0.93, 0.12
 #: Open links that one task finishes the clustering of; above, it goes on round by round with the same result.
 FEW_LINKS = 200_000
+#: Readings of a part of a kind: what one task compares are two of them at most. Pairs it holds at once, and tasks a core.
+PART, PAIRS_AT_ONCE, GROUPS_A_CORE = 50_000, 2_000_000, 8
 LINK, WORD_LINK = 0.8, 0.62
 PAREN = re.compile(r"\([^)]*\)")
 CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-Z])")
@@ -177,17 +179,29 @@ def similarity(a: str, b: str) -> float:
     return whole * 0.9 if left else whole
 
 
-def signatures(readings: pd.Series, n: int) -> np.ndarray:
-    """n MinHash values per reading over the padded 2-grams of its words."""
+def grams_of(readings: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """CRC of each different padded 2-gram, the grams of all readings by number one after the other, and where each begins."""
+    number: dict[str, int] = {}
+    ids, starts = [], []
+    for text in readings:
+        starts.append(len(ids))
+        ids += [number.setdefault(f"#{w}#"[k : k + 2], len(number)) for w in text.split() for k in range(len(w) + 1)] or [number.setdefault("", len(number))]
+    return np.array([zlib.crc32(g.encode()) for g in number], dtype=np.uint64), np.array(ids, dtype=np.int64), np.array(starts, dtype=np.int64)
+
+
+def minhash(grams: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, columns: range) -> Iterator[np.ndarray]:
+    """These columns of the n MinHash values of each reading, one after the other: each gram is hashed once, not once a reading."""
     rng = np.random.default_rng(20240501)
     a = rng.integers(1, 1 << 31, n, dtype=np.uint64) | np.uint64(1)
     b = rng.integers(0, 1 << 31, n, dtype=np.uint64)
-    out = np.zeros((len(readings), n), dtype=np.uint32)
-    for i, text in enumerate(readings):
-        grams = {f"#{w}#"[k : k + 2] for w in text.split() for k in range(len(w) + 1)}
-        h = np.array([zlib.crc32(g.encode()) for g in grams] or [0], dtype=np.uint64)
-        out[i] = (((h[:, None] * a + b) >> np.uint64(13)) & np.uint64(0xFFFFFFFF)).min(axis=0)
-    return out
+    crc, ids, starts = grams
+    for c in columns:
+        yield np.minimum.reduceat((((crc * a[c] + b[c]) >> np.uint64(13)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[ids], starts)
+
+
+def signatures(readings: pd.Series, n: int) -> np.ndarray:
+    """n MinHash values per reading over the padded 2-grams of its words."""
+    return np.stack(list(minhash(grams_of(readings), n, range(n))), axis=1)
 
 
 def kind_words(names: DataFrame) -> dict[str, dict[str, str]]:
@@ -221,42 +235,171 @@ def readings(names: DataFrame, vendors: list[str]) -> DataFrame:
     return names.mapInPandas(read, "field string, name string, n bigint, kind string, words string")
 
 
-def candidates(keys: DataFrame) -> DataFrame:
-    """key_a, key_b of the readings that share a band. Kinds agree or one is missing; their numbers of words differ by one at
-    most, as similarity asks for."""
-    most = keys.groupBy("field", "kind").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    width, n = band_shape(most)
-
-    def band(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sig = signatures(pdf["words"], n * width).reshape(len(pdf), n, width).astype(np.uint64)
-            h = np.arange(n, dtype=np.uint64) << np.uint64(40)
-            for i in range(width):
-                h = (h ^ sig[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
+def sharing(left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of equal hashes of left and right, or of left alone, some PAIRS_AT_ONCE pairs at a time."""
+    order = np.argsort(left, kind="stable")
+    if right is None:
+        to, hashes = order, left[order]
+        lo = np.arange(1, len(left) + 1)
+    else:
+        to = np.argsort(right, kind="stable")
+        hashes = right[to]
+        lo = np.searchsorted(hashes, left[order], "left")
+    hi = np.searchsorted(hashes, left[order], "right")
+    some = np.flatnonzero(hi > lo)
+    order, lo, n = order[some], lo[some], (hi - lo)[some]
+    ends = np.cumsum(n)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIRS_AT_ONCE, "right")))
+        m = n[i:j]
+        yield np.repeat(order[i:j], m), to[np.repeat(lo[i:j] - np.cumsum(m) + m, m) + np.arange(m.sum())]
+        i = j
+
+
+class Letters:
+    """Counts of letters of the readings' words, for a bound on similarity that needs no edit distance."""
+
+    MOST = 4  # words; readings of more are not bounded
+
+    def __init__(self, readings: list[str]) -> None:
+        number: dict[str, int] = {}
+        self.words = np.full((len(readings), self.MOST), -1)
+        self.size = np.zeros(len(readings), dtype=np.int64)
+        for i, text in enumerate(readings):
+            words = [number.setdefault(w, len(number)) for w in text.split()]
+            self.size[i] = len(words)
+            self.words[i, : min(len(words), self.MOST)] = words[: self.MOST]
+        self.counts = np.zeros((len(number), 32), dtype=np.int8)
+        for w, i in number.items():
+            for c in w[:100]:
+                self.counts[i, ord(c) % 32] += 1
+        self.length = np.array([len(w) for w in number], dtype=np.int64)
+        self.initial, self.nick = (np.array([f(w) for w in number], dtype=bool) for f in (lambda w: len(w) == 1, lambda w: w in NICK))
+
+    def bound(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """At least word_similarity: each edit mends one letter too many and one too few at most."""
+        over = self.counts[x] - self.counts[y]
+        edits = (np.abs(over).sum(axis=1, dtype=np.int32) + np.abs(over.sum(axis=1, dtype=np.int32))) / 2
+        free = self.initial[x] | self.initial[y] | (self.nick[x] & self.nick[y]) | (np.maximum(self.length[x], self.length[y]) > 100)
+        return np.where(free, 1.0, 1 - edits / np.maximum(self.length[x], self.length[y]))
+
+    def possible(self, a: np.ndarray, b: np.ndarray, factor: float) -> np.ndarray:
+        """Whether similarity times factor may reach LINK: False only where it surely doesn't."""
+        swap = self.size[a] > self.size[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        out = (self.size[a] > 0) & (self.size[b] - self.size[a] <= 1)
+        shape = np.where(out & (self.size[b] <= self.MOST), self.size[a] * (self.MOST + 1) + self.size[b], -1)
+        for k in np.unique(shape[shape >= 0]):
+            at = np.flatnonzero(shape == k)
+            x, y = divmod(int(k), self.MOST + 1)
+            best = np.stack([np.max([self.bound(self.words[a[at], i], self.words[b[at], j]) for j in range(y)], axis=0) for i in range(x)])
+            whole = best.mean(axis=0) * factor * (1.0 if x == y else 0.9)
+            # words of which none has a partner may still be the same letters cut at another place
+            out[at] = ((best.min(axis=0) >= WORD_LINK) & (whole >= LINK - 1e-9)) | (x != y and self.cut_elsewhere(a[at], b[at], x, y))
+        return out
+
+    def cut_elsewhere(self, a: np.ndarray, b: np.ndarray, x: int, y: int) -> np.ndarray:
+        (la, ca), (lb, cb) = ((sum(f[self.words[r, i]].astype(np.int32) for i in range(n)) for f in (self.length, self.counts)) for r, n in ((a, x), (b, y)))
+        return (la == lb) & (ca == cb).all(axis=1)
+
+
+def placed(keys: DataFrame, counts: dict[tuple[str, str], int]) -> tuple[DataFrame, int]:
+    """keys once for every task that compares them (field, kind, key, words, task, side, free), and the number of tasks.
+
+    Kinds are cut into parts of PART readings at most, small ones of a field share a part. A task holds one part, whose
+    readings of one kind meet; or two parts of one kind, where side 0 meets side 1; or readings without a kind (free), which
+    as side 0 meet a part of any kind. So what a task holds is bounded whatever the kinds are, and all pairs that may be
+    linked meet in exactly one task."""
+    parts: dict[tuple[str, str], list[int]] = {}
+    room: dict[tuple[str, bool], list[int]] = {}  # the part being filled with small kinds, and its readings
+    made = 0
+    for (field, kind), n in sorted(counts.items()):
+        if n > PART:
+            parts[field, kind] = list(range(made, made + -(-n // PART)))
+            made += -(-n // PART)
+            continue
+        part = room.get((field, kind == ""))
+        if part is None or part[1] + n > PART:
+            part = room[field, kind == ""] = [made, 0]
+            made += 1
+        part[1] += n
+        parts[field, kind] = [part[0]]
+    places: dict[int, list[tuple[int, int, bool]]] = {p: [(p, 0, False)] for p in range(made)}
+    tasks = made
+
+    def meet(p: int, q: int, free: bool) -> None:
+        nonlocal tasks
+        places[p].append((tasks, 0, free))
+        places[q].append((tasks, 1, free))
+        tasks += 1
+
+    for own in parts.values():
+        for i, p in enumerate(own):
+            for q in own[i + 1 :]:
+                meet(p, q, False)
+    for field in {f for f, _ in parts}:
+        for p in parts.get((field, ""), []):
+            for q in sorted({q for (f, kind), own in parts.items() if f == field and kind for q in own}):
+                meet(p, q, True)
+    rows = [(f, k, len(own), i, places[p]) for (f, k), own in parts.items() for i, p in enumerate(own)]
+    plan = keys.sparkSession.createDataFrame(rows, "field string, kind string, parts int, part int, places array<struct<task: int, side: int, free: boolean>>")
+    at = keys.select("field", "kind", "key", "words").join(F.broadcast(plan), ["field", "kind"]).where(F.pmod("key", "parts") == F.col("part"))
+    return at.select("field", "kind", "key", "words", F.inline("places")), tasks
+
+
+def verified_links(keys: DataFrame) -> DataFrame:
+    """key_a, key_b, score of the readings that share a band and whose similarity is at least LINK. Kinds agree or one is missing.
+
+    Readings travel, not their bands: a task hashes the readings it holds band by band, and takes the words of those that meet
+    from memory. Some hundred bands a reading are neither shuffled nor joined, so no plan can take them for a small table."""
+    counts = {(r["field"], r["kind"]): r["count"] for r in keys.groupBy("field", "kind").count().collect()}  # kinds are bounded
+    width, n = band_shape(max(counts.values(), default=0))
+    at, tasks = placed(keys, counts)
+    cores = keys.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, min(n, -(-GROUPS_A_CORE * cores // max(tasks, 1))))  # of bands, for enough tasks
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("side", ignore_index=True)
+        block, free = int(pdf["block"].iloc[0]), bool(pdf["free"].iloc[0])
+        key, words, kind = pdf["key"].to_numpy(), pdf["words"].to_list(), pd.factorize(pdf["kind"])[0].astype(np.uint64)
+        sides = int((pdf["side"] == 0).sum())
+        two = free or bool(pdf["side"].iloc[-1] == 1)
+        factor = 0.95 if free else 1.0
+        grams, letters = grams_of(words), Letters(words)
+        found: list[pd.DataFrame] = []
+        met: list[np.ndarray] = []
+
+        def verify() -> None:
+            codes = np.unique(np.concatenate(met))
+            met.clear()
+            for i in range(0, len(codes), PAIRS_AT_ONCE // 10):
+                a, b = np.divmod(codes[i : i + PAIRS_AT_ONCE // 10], len(key))
+                may = letters.possible(a, b, factor)
+                a, b = a[may], b[may]
+                swap = key[a] > key[b]
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                score = np.array([similarity(words[x], words[y]) for x, y in zip(a, b)], dtype=float) * factor
+                ok = score >= LINK
+                found.append(pd.DataFrame({"key_a": key[a[ok]], "key_b": key[b[ok]], "score": score[ok]}))
+
+        for band in range(block, n, blocks):
+            h = np.zeros(len(key), dtype=np.uint64) if free else kind << np.uint64(40)
+            for column in minhash(grams, n * width, range(band * width, (band + 1) * width)):
+                h = (h ^ column) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(31)
-            yield pd.DataFrame({"band": h.view(np.int64).ravel(), **{c: np.repeat(pdf[c].to_numpy(), n) for c in ("key", "field", "kind", "size")}})
-
-    counted = keys.select("key", "field", "kind", "words", F.size(F.split("words", " ")).alias("size"))
-    rows = counted.mapInPandas(band, "band bigint, key bigint, field string, kind string, size int")
-    a, b = (rows.select("band", "field", F.col("kind").alias(f"kind_{s}"), F.col("key").alias(f"key_{s}"), F.col("size").alias(f"size_{s}")) for s in "ab")
-    alike = F.abs(F.col("size_a") - F.col("size_b")) <= 1
-    same = a.join(b.withColumnRenamed("kind_b", "kind_a"), ["band", "field", "kind_a"]).where(alike).where("key_a < key_b").select("key_a", "key_b")
-    open_ = a.where("kind_a = ''").join(b.where("kind_b <> ''"), ["band", "field"]).where(alike).select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
-    return same.unionByName(open_).distinct()
-
-
-def verified(pairs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key_a, key_b, score of the candidates whose similarity is at least LINK."""
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            s = [similarity(x, y) * (1.0 if k == l else 0.95) for x, y, k, l in zip(pdf["words_a"], pdf["words_b"], pdf["kind_a"], pdf["kind_b"])]
-            out = pdf[["key_a", "key_b"]].assign(score=s)
-            yield out[out["score"] >= LINK]
+            for a, b in sharing(h[:sides], h[sides:] if two else None):
+                b = b + sides if two else b
+                met.append(np.minimum(a, b) * len(key) + np.maximum(a, b))
+                if sum(map(len, met)) > PAIRS_AT_ONCE:
+                    verify()
+        if met:
+            verify()
+        return pd.concat(found) if found else pd.DataFrame({"key_a": key[:0], "key_b": key[:0], "score": np.zeros(0)})
 
-    a, b = (keys.select(F.col("key").alias(f"key_{s}"), F.col("words").alias(f"words_{s}"), F.col("kind").alias(f"kind_{s}")) for s in "ab")
-    spread = 2 * pairs.sparkSession.sparkContext.defaultParallelism  # few bytes, much work
-    return pairs.join(a, "key_a").join(b, "key_b").repartition(spread).mapInPandas(score, "key_a bigint, key_b bigint, score double")
+    spread = max(GROUPS_A_CORE * cores, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
+    groups = at.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(spread, "task", "block")
+    return groups.groupBy("task", "block").applyInPandas(link, "key_a bigint, key_b bigint, score double").distinct()
 
 
 def finished(open_: DataFrame) -> DataFrame:
@@ -322,7 +465,7 @@ def clustered_names(names: DataFrame, vendors: list[str]) -> DataFrame:
     keys = read.groupBy("key").agg(F.first("field").alias("field"), F.first("kind").alias("kind"), F.first("words").alias("words"), F.sum("n").alias("n"))
     full = (F.col("kind") != "").cast("int") + F.size(F.filter(F.split("words", " "), lambda w: F.length(w) > 1))
     keys = materialize(keys.withColumn("full", F.least(full, F.lit(3))), "reading-keys")
-    links = materialize(verified(candidates(keys), keys), "verified-names")
+    links = materialize(verified_links(keys), "verified-names")
     return read.join(stars(keys, links), "key").select("field", "name", "centre")
 
 

@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -245,6 +247,84 @@ def test_band_recall():
     assert names.band_shape(400)[0] == 3 < names.band_shape(40_000)[0]
 
 
+def made_readings(n: int) -> list[tuple[str, str, str]]:
+    """Distinct (field, kind, words) with typos, initials, missing words, words cut elsewhere, and some without a kind."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("bdgkmnprstvz") + rng.choice("aeiou") for _ in range(3))
+    out = {("customer_name", "media", ""): None, ("customer_name", "media", "x" * 300): None, ("customer_name", "media", " ".join("abcdefg")): None}
+    while len(out) < n:
+        a, b = rng.choice(["nick", "nicholas", word()]), word()
+        i = rng.randrange(1, 5)
+        for words in ([a, b], [a, b[:i] + b[i + 1] + b[i] + b[i + 2 :]], [a, b[:i] + b[i + 1 :]], [a[0], b], [a], [a, b[:3], b[3:]], [a, b, "gruppe"]):
+            out[rng.choice(["customer_name", "products_used"]), rng.choice(["media", "media", "bank", "graph", ""]), " ".join(sorted(words))] = None
+    return list(out)
+
+
+def test_links_are_those_of_all_pairs(spark, monkeypatch):
+    """All pairs that share a band and are similar come out, whether a kind fits one task or takes many; the bound on letters loses none."""
+    readings = made_readings(400)
+    keys = spark.createDataFrame([(f, k, w, i) for i, (f, k, w) in enumerate(readings)], "field string, kind string, words string, key bigint")
+    rows, n = names.band_shape(max(Counter(r[:2] for r in readings).values()))
+    sig = names.signatures(pd.Series([w for _, _, w in readings]), n * rows).reshape(len(readings), n, rows)
+    want = {}
+    for j, (f, k, w) in enumerate(readings):
+        met = (sig[:j] == sig[j]).all(axis=2).any(axis=1)
+        for i in (int(i) for i in np.flatnonzero(met) if readings[i][0] == f and (readings[i][1] == k or "" in (readings[i][1], k))):
+            score = names.similarity(readings[i][2], w) * (1.0 if readings[i][1] == k else 0.95)
+            if score >= names.LINK:
+                want[i, j] = round(score, 9)
+    assert len(want) > 100
+    for part in (names.PART, 40, 9):
+        monkeypatch.setattr(names, "PART", part)
+        got = [(r["key_a"], r["key_b"], round(r["score"], 9)) for r in names.verified_links(keys).collect()]
+        assert len(got) == len(want) and {(a, b): s for a, b, s in got} == want
+
+
+def test_tasks_of_names_are_bounded(spark, monkeypatch):
+    """What one task compares doesn't grow with a kind: two parts at most, and each pair that may be linked meets once."""
+    monkeypatch.setattr(names, "PART", 20)
+    readings = made_readings(300)
+    keys = spark.createDataFrame([(f, k, w, i) for i, (f, k, w) in enumerate(readings)], "field string, kind string, words string, key bigint")
+    at, tasks = names.placed(keys, dict(Counter(r[:2] for r in readings)))
+    held: dict[int, list] = {}
+    for r in at.collect():
+        held.setdefault(r["task"], []).append(r)
+    assert max(held) < tasks and max(map(len, held.values())) <= 3 * 20  # parts are drawn by the key
+    met = Counter()
+    for rs in held.values():
+        sides = [[r for r in rs if r["side"] == s] for s in (0, 1)]
+        across = rs[0]["free"] or sides[1]
+        for x, y in [(x, y) for x in sides[0] for y in sides[1]] if across else combinations(sides[0], 2):
+            if x["free"] or x["kind"] == y["kind"]:
+                met[tuple(sorted((x["key"], y["key"])))] += 1
+    assert met == {(i, j): 1 for (i, x), (j, y) in combinations(enumerate(readings), 2) if x[0] == y[0] and (x[1] == y[1] or "" in (x[1], y[1]))}
+
+
+def test_bands_of_names_are_never_broadcast(spark, monkeypatch):
+    """A reading has some hundred bands; a plan that takes the table of bands for as small as the names sends it to the driver."""
+    plans = {}
+    written = names.materialize
+    monkeypatch.setattr(names, "materialize", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and written(df, name))
+    names.clustered_names(spark.createDataFrame([("customer_name", f"{w} {k}".title(), 1) for _, k, w in made_readings(60)], "field string, name string, n bigint").distinct(), [])
+    lines = plans["verified-names"].split("== Initial Plan ==")[0].splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            assert not any("InPandas" in y for y in lines[i:below]), plans["verified-names"]
+
+
+def test_equal_hashes_meet_in_pieces(monkeypatch):
+    monkeypatch.setattr(names, "PAIRS_AT_ONCE", 5)
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 9, 60, dtype=np.uint64), rng.integers(0, 9, 40, dtype=np.uint64)
+    got = [(int(x), int(y)) for p, q in names.sharing(a, b) for x, y in zip(p, q)]
+    assert sorted(got) == [(i, j) for i in range(60) for j in range(40) if a[i] == b[j]]
+    got = [tuple(sorted((int(x), int(y)))) for p, q in names.sharing(a, None) for x, y in zip(p, q)]
+    assert sorted(got) == [(i, j) for i, j in combinations(range(60), 2) if a[i] == a[j]]
+    assert not list(names.sharing(a, b[:0])) and not list(names.sharing(a[:0], None))
+
+
 def test_stars_end_whatever_the_chain(spark, monkeypatch):
     """A chain of 200 readings whose ranks fall along it: each second one is a centre, in rounds as in one task."""
     keys = spark.createDataFrame([(i, 3, 1000 - i) for i in range(200)], "key bigint, full int, n bigint")
